@@ -84,7 +84,7 @@ def interpolate(series: DataFrame, keys: Sequence[str] = ("ticker", "attr"), day
     inside = inside_segment(keys, day)
     spans = (
         rows.where(F.col(value).isNotNull())
-        .join(around, [*keys, SEGMENT])
+        .join(around, [*keys, SEGMENT], "left")
         .withColumn("_next_day", F.coalesce(F.lead(day).over(inside), F.col("_later_day")))
         .withColumn("_next_value", F.coalesce(F.lead(value).over(inside), F.col("_later_value")))
         .withColumn("_from", F.when(F.col(day) == F.col("_origin"), F.col("_start")).otherwise(F.col(day)))

@@ -11,6 +11,7 @@ from barloom.operators.series import attach, per_series, with_segment
 
 KEYS = ["ticker"]
 DAY = "trading_date"
+SLOTS = 64
 
 
 def _bin(value: str, lo: str, hi: str, bins: int) -> Column:
@@ -26,25 +27,28 @@ def histogram(df: DataFrame, value: str, bins: int = 10, view: tuple[float, floa
     of one around it. ``view`` marks the bins that overlap the displayed interval.
     """
     rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), DAY)
-    limits = per_series(
-        rows, KEYS, F.min(value).alias("_min"), F.max(value).alias("_max"), F.count(F.lit(1)).alias("_n")
+    half = F.when(F.col("_min") == F.col("_max"), F.lit(0.5)).otherwise(F.lit(0.0))
+    limits = (
+        per_series(rows, KEYS, F.min(value).alias("_min"), F.max(value).alias("_max"))
+        .withColumn("_lo", F.col("_min") - half)
+        .withColumn("_hi", F.col("_max") + half)
+        .drop("_min", "_max")
     )
-    flat = F.col("_min") == F.col("_max")
-    limits = limits.withColumn("_lo", F.when(flat, F.col("_min") - 0.5).otherwise(F.col("_min"))).withColumn(
-        "_hi", F.when(flat, F.col("_max") + 0.5).otherwise(F.col("_max"))
-    )
-    limits = limits.drop("_min", "_max")
     counts = (
         attach(rows, limits, KEYS)
         .groupBy(*KEYS, _bin(value, "_lo", "_hi", bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("_count"))
+        .agg(F.count(F.lit(1)).alias("_count"), F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     )
-    edges = limits.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).withColumn(
-        "_width", (F.col("_hi") - F.col("_lo")) / bins
+    # At most `bins` rows per series from here on.
+    filled = counts.groupBy(*KEYS).agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "_count"))).alias("_counts"),
+        F.sum("_count").alias("_n"),
+        F.max("_lo").alias("_lo"),
+        ((F.max("_hi") - F.max("_lo")) / bins).alias("_width"),
     )
     out = (
-        edges.join(counts, [*KEYS, "bin"], "left")
-        .withColumn("count", F.coalesce("_count", F.lit(0)))
+        filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        .withColumn("count", F.coalesce(F.element_at("_counts", F.col("bin")), F.lit(0)))
         .withColumn("left_edge", F.col("_lo") + F.col("bin") * F.col("_width"))
         .withColumn("right_edge", F.col("_lo") + (F.col("bin") + 1) * F.col("_width"))
         .withColumn("density", F.col("count") / (F.col("_n") * F.col("_width")))
@@ -57,69 +61,74 @@ def histogram(df: DataFrame, value: str, bins: int = 10, view: tuple[float, floa
     return out.select(*columns)
 
 
+def _value_counts(df: DataFrame, value: str) -> DataFrame:
+    """Each distinct value of a series with its number of rows, dealt out to slots."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*KEYS, F.col(value).alias("_x"))
+    return counted.agg(F.count(F.lit(1)).alias("_c")).withColumn(
+        "_slot", F.pmod(F.xxhash64("_x"), F.lit(SLOTS)).cast("int")
+    )
+
+
+def _for_slots(values: DataFrame, stats: DataFrame) -> DataFrame:
+    """Add per-series columns to value counts; one copy per slot, so a long series is spread over slots."""
+    copies = stats.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    return values.join(copies, [*KEYS, "_slot"], "left")
+
+
 def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], bins: int = 4096) -> DataFrame:
     """Exact quantiles of each series by linear interpolation between order statistics.
 
     Equal values are counted first; bin counts then tell which bins hold the
     wanted ranks, and only the values of those bins are ordered. Gives
-    ``n, min, max, q0, q1, ...`` per series.
+    ``n, q0, q1, ...`` per series.
     """
-    values = df.where(F.col(value).isNotNull()).groupBy(*KEYS, F.col(value).alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
+    values = _value_counts(df, value)
     limits = values.groupBy(*KEYS).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("_n"))
-    # A value's bin needs the limits of its series: copies of the limits, one per slot, spread a long series over slots.
-    slots = 64
-    slotted = values.withColumn("_slot", F.pmod(F.xxhash64("_x"), F.lit(slots)).cast("int"))
-    spread = limits.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    place = F.when(F.col("_lo") == F.col("_hi"), F.lit(0)).otherwise(_bin("_x", "_lo", "_hi", bins))
-    binned = slotted.join(spread, [*KEYS, "_slot"]).select(*KEYS, "_x", "_c", place.alias("_bin"))
+    flat = F.col("_lo") == F.col("_hi")
+    binned = _for_slots(values, limits).withColumn(
+        "_bin", F.when(flat, F.lit(0)).otherwise(_bin("_x", "_lo", "_hi", bins))
+    )
+    places = [(F.col("_n") - 1) * F.lit(float(p)) for p in probabilities]
+    ranks = F.array(
+        *[
+            F.struct(F.lit(f"{side}{i}").alias("name"), edge(place).alias("rank"))
+            for i, place in enumerate(places)
+            for side, edge in (("low", F.floor), ("high", F.ceil))
+        ]
+    )
+
+    def held(rank: Column) -> Column:
+        return (rank["rank"] >= F.col("_start")) & (rank["rank"] < F.col("_end"))
 
     upto = Window.partitionBy(*KEYS).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    per_bin = binned.groupBy(*KEYS, "_bin").agg(F.sum("_c").alias("_in_bin"))
-    filled = per_bin.withColumn("_end", F.sum("_in_bin").over(upto))
-
-    ranks = []
-    for i, p in enumerate(probabilities):
-        place = (F.col("_n") - 1) * F.lit(float(p))
-        ranks += [
-            F.struct(F.lit(i).alias("i"), F.lit(False).alias("upper"), F.floor(place).alias("rank")),
-            F.struct(F.lit(i).alias("i"), F.lit(True).alias("upper"), F.ceil(place).alias("rank")),
-        ]
-    wanted = limits.select(*KEYS, F.inline(F.array(*ranks)))
-    # Bins and ranks are both bounded per series.
     targets = (
-        filled.join(wanted, KEYS)
-        .where((F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_in_bin")))
-        .groupBy(*KEYS, "_bin")
-        .agg(
-            F.max(F.col("_end") - F.col("_in_bin")).alias("_before"),
-            F.collect_list(F.struct("i", "upper", "rank")).alias("_ranks"),
-        )
+        binned.groupBy(*KEYS, "_bin")
+        .agg(F.sum("_c").alias("_c"), F.max("_n").alias("_n"))
+        .withColumn("_end", F.sum("_c").over(upto))
+        .withColumn("_start", F.col("_end") - F.col("_c"))
+        .withColumn("_ranks", F.filter(ranks, held))
+        .where(F.size("_ranks") > 0)
+        .select(*KEYS, "_bin", F.col("_start").alias("_before"), "_ranks")
     )
     in_bin = Window.partitionBy(*KEYS, "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     found = (
-        binned.join(targets, [*KEYS, "_bin"])
+        binned.select(*KEYS, "_bin", "_x", "_c", "_n")
+        .join(targets, [*KEYS, "_bin"])
         .withColumn("_end", F.col("_before") + F.sum("_c").over(in_bin))
-        .select(*KEYS, "_x", (F.col("_end") - F.col("_c")).alias("_start"), "_end", F.inline("_ranks"))
-        .where((F.col("rank") >= F.col("_start")) & (F.col("rank") < F.col("_end")))
+        .withColumn("_start", F.col("_end") - F.col("_c"))
+        .select(*KEYS, "_x", "_n", F.inline(F.filter("_ranks", held)))
     )
+    names = [f"{side}{i}" for i in range(len(places)) for side in ("low", "high")]
     picked = found.groupBy(*KEYS).agg(
-        *[
-            F.max(F.when((F.col("i") == i) & (F.col("upper") == upper), F.col("_x"))).alias(f"_{i}_{upper}")
-            for i in range(len(probabilities))
-            for upper in (False, True)
-        ]
+        F.max("_n").alias("_n"), *[F.max(F.when(F.col("name") == name, F.col("_x"))).alias(name) for name in names]
     )
-    result = limits.join(picked, KEYS)
-    for i, p in enumerate(probabilities):
-        place = (F.col("_n") - 1) * F.lit(float(p))
-        low, high = F.col(f"_{i}_False"), F.col(f"_{i}_True")
-        result = result.withColumn(f"q{i}", low + (place - F.floor(place)) * (high - low))
-    return result.select(
+    return picked.select(
         *KEYS,
         F.col("_n").alias("n"),
-        F.col("_lo").alias("min"),
-        F.col("_hi").alias("max"),
-        *[f"q{i}" for i in range(len(probabilities))],
+        *[
+            (F.col(f"low{i}") + (place - F.floor(place)) * (F.col(f"high{i}") - F.col(f"low{i}"))).alias(f"q{i}")
+            for i, place in enumerate(places)
+        ],
     )
 
 
@@ -129,19 +138,14 @@ def _fences(df: DataFrame, value: str, whisker: float) -> DataFrame:
     return q.withColumn("_low_fence", F.col("q0") - reach).withColumn("_high_fence", F.col("q2") + reach)
 
 
-def _with_fences(df: DataFrame, value: str, whisker: float) -> DataFrame:
-    rows = with_segment(df.where(F.col(value).isNotNull()), DAY)
-    return attach(rows, per_series(rows, KEYS).join(_fences(df, value, whisker), KEYS), KEYS)
-
-
 def box_stats(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (the outermost values within 1.5 quartile ranges) and the number of outliers."""
-    x = F.col(value)
+    x = F.col("_x")
     low = F.least(F.min(F.when(x >= F.col("_low_fence"), x)), F.max("q0"))
     high = F.greatest(F.max(F.when(x <= F.col("_high_fence"), x)), F.max("q2"))
     outside = (x < F.col("_low_fence")) | (x > F.col("_high_fence"))
     return (
-        _with_fences(df, value, whisker)
+        _for_slots(_value_counts(df, value), _fences(df, value, whisker))
         .groupBy(*KEYS)
         .agg(
             F.max("n").alias("n"),
@@ -150,17 +154,17 @@ def box_stats(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
             F.max("q2").alias("q3"),
             low.alias("whisker_low"),
             high.alias("whisker_high"),
-            F.count_if(outside).alias("n_outliers"),
+            F.sum(F.when(outside, F.col("_c")).otherwise(F.lit(0))).alias("n_outliers"),
         )
     )
 
 
 def box_outliers(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
     """The rows beyond the whiskers, with the side they are on."""
-    side = F.when(F.col(value) < F.col("_low_fence"), F.lit("low")).when(F.col(value) > F.col("_high_fence"), F.lit("high"))
-    return (
-        _with_fences(df, value, whisker)
-        .withColumn("side", side)
-        .where(F.col("side").isNotNull())
-        .select(*KEYS, DAY, value, "side")
+    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), DAY)
+    fences = per_series(rows, KEYS).join(_fences(df, value, whisker), KEYS)
+    side = F.when(F.col(value) < F.col("_low_fence"), F.lit("low")).when(
+        F.col(value) > F.col("_high_fence"), F.lit("high")
     )
+    outliers = attach(rows, fences, KEYS).withColumn("side", side)
+    return outliers.where(F.col("side").isNotNull()).select(*KEYS, DAY, value, "side")

@@ -51,7 +51,7 @@ def returns(bars: DataFrame, price: str = "close") -> DataFrame:
     current = F.coalesce(F.col(price), F.col("_previous"))
     defined = F.col("_previous").isNotNull() & (F.col("_zero").isNull() | (F.col(DAY) <= F.col("_zero")))
     return (
-        rows.join(carried, [*KEYS, SEGMENT])
+        rows.join(carried, [*KEYS, SEGMENT], "left")
         .withColumn("_previous", previous)
         .withColumn("returns", F.try_divide(current, F.col("_previous")) - 1)
         .withColumn("cumulative_return", F.when(defined, F.try_divide(current, F.col("_base"))))
@@ -105,7 +105,7 @@ def accumulation_distribution(bars: DataFrame) -> DataFrame:
     so_far = inside_segment(KEYS, DAY).rowsBetween(Window.unboundedPreceding, 0)
     running = F.col("_carried") + F.sum("money_flow_volume").over(so_far)
     return (
-        rows.join(carried, [*KEYS, SEGMENT])
+        rows.join(carried, [*KEYS, SEGMENT], "left")
         .withColumn("accumulation_distribution", running)
         .select(*bars.columns, "money_flow_volume", "accumulation_distribution")
     )

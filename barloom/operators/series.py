@@ -13,8 +13,10 @@ task. Here rows are grouped by (series, segment) or (series, block) instead:
 
 Joins between rows and summaries are always on (series, segment) or
 (series, block), so no join key ever holds more than a bounded number of rows,
-however unevenly rows spread over series. No side is broadcast by hint:
-Spark does so only for sides it has measured to be small.
+however unevenly rows spread over series. They are left joins, so the rows are
+always the streamed side: the summary may be broadcast once Spark has measured
+it to be small, and otherwise both sides are shuffled on the same keys the
+window after the join needs.
 """
 
 from __future__ import annotations
@@ -70,7 +72,7 @@ def per_series(rows: DataFrame, keys: Sequence[str], *aggregates: Column) -> Dat
 def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``per_series`` output to rows, joined on (series, segment)."""
     repeated = stats.withColumn(SEGMENT, F.explode(F.sequence("_first_segment", "_last_segment")))
-    return rows.join(repeated.drop("_first_segment", "_last_segment"), [*keys, SEGMENT])
+    return rows.join(repeated.drop("_first_segment", "_last_segment"), [*keys, SEGMENT], "left")
 
 
 def with_position(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
@@ -85,7 +87,7 @@ def with_position(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     )
     inside = F.row_number().over(inside_segment(keys, day))
     return (
-        rows.join(offsets, [*keys, SEGMENT])
+        rows.join(offsets, [*keys, SEGMENT], "left")
         .withColumn(POSITION, F.col("_before") + inside)
         .drop("_before", SEGMENT)
     )
@@ -116,4 +118,4 @@ def home_rows(blocks: DataFrame) -> DataFrame:
 def attach_by_block(blocks: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add per-series columns to rows that carry their block; ``stats`` must hold the series length."""
     repeated = stats.withColumn(BLOCK, F.explode(F.sequence(F.lit(0), _block_at(F.col(LENGTH)))))
-    return blocks.join(repeated.drop(LENGTH), [*keys, BLOCK])
+    return blocks.join(repeated.drop(LENGTH), [*keys, BLOCK], "left")

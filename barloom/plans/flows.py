@@ -25,18 +25,21 @@ def ingest(spark: SparkSession, landing: str, store: str) -> None:
 
 
 def regular_series(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
-    """A daily value for every ticker and attribute."""
-    return interpolate(to_long(deduplicate(bars), attributes))
+    """A daily value for every ticker and attribute; bars must be unique by ticker and day."""
+    return interpolate(to_long(bars, attributes))
 
 
 def forecast(bars: DataFrame, model: str = "additive", horizon: int = HORIZON_DAYS) -> DataFrame:
     """History and horizon of every ticker and attribute."""
-    return MODELS[model](regular_series(bars), horizon=horizon)
+    return MODELS[model](regular_series(deduplicate(bars)), horizon=horizon)
 
 
 def validate(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
-    """Fit on the first four fifths of each calendar, predict the rest, set both beside the known values."""
-    filled = to_long(calendar_fill(deduplicate(bars)), attributes)
+    """Fit on the first four fifths of each calendar, predict the rest, set both beside the known values.
+
+    Bars must be unique by ticker and day.
+    """
+    filled = to_long(calendar_fill(bars), attributes)
     parts = select.train_valid_split(filled, ["ticker", "attr"], "ds")
     train = interpolate(parts.where(F.col("part") == "train").drop("part"))
     horizon = parts.groupBy("ticker", "attr").agg(F.count_if(F.col("part") == "valid").alias("horizon"))
