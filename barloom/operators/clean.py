@@ -132,4 +132,4 @@ def long_enough(bars: DataFrame, more_than: int, keys: Sequence[str] = ("ticker"
     """Only the series with more than so many rows."""
     rows = with_segment(bars, day)
     counted = per_series(rows, keys, F.count(F.lit(1)).alias("_n"))
-    return attach(rows, counted.where(F.col("_n") > more_than), keys).select(*bars.columns)
+    return attach(rows, counted, keys).where(F.col("_n") > more_than).select(*bars.columns)

@@ -7,6 +7,7 @@ from barloom.plans.settings import (
     BUDGET_MB,
     ENDPOINT,
     HISTORY_END,
+    MORE_ROWS_THAN,
     NEW_TICKER,
     PERIODS,
     RANGE_END,
@@ -237,7 +238,7 @@ with {ORDER_BARS}, seq as (select *, row_number() over (partition by ticker orde
 select * from bars except select * exclude (p, n) from seq where p <= n * 4 // 5""",
     "long_enough": f"""
 with {SUPPLIER_BARS} select ticker, trading_date, close from bars
-where ticker in (select ticker from bars group by 1 having count(*) > 150)""",
+where ticker in (select ticker from bars group by 1 having count(*) > {MORE_ROWS_THAN})""",
     "first_rows": f"""
 with {ORDER_BARS} select ticker, trading_date, close from (
   select *, row_number() over (partition by ticker order by trading_date) as p from bars) where p <= 5""",

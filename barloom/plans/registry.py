@@ -17,6 +17,7 @@ from barloom.plans.settings import (
     BUDGET_MB,
     ENDPOINT,
     HISTORY_END,
+    MORE_ROWS_THAN,
     NEW_TICKER,
     PERIODS,
     RANGE_END,
@@ -139,7 +140,7 @@ def split_except(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def long_enough(spark: SparkSession, folder: str) -> DataFrame:
-    return clean.long_enough(supplier_bars(spark, folder), 150).select("ticker", "trading_date", "close")
+    return clean.long_enough(supplier_bars(spark, folder), MORE_ROWS_THAN).select("ticker", "trading_date", "close")
 
 
 def first_rows(spark: SparkSession, folder: str) -> DataFrame:

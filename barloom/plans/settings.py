@@ -3,6 +3,7 @@
 ENDPOINT = "https://bars.example/v1/bars"
 AS_OF = "2001-08-02"
 WORKERS = 16
+MORE_ROWS_THAN = 530
 BUDGET_MB = 1.0
 HISTORY_END = "2000-01-01"
 NEW_TICKER = "5-LOW"

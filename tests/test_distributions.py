@@ -1,0 +1,71 @@
+import numpy as np
+import pytest
+from conftest import DATA
+
+from barloom.operators import distributions, select
+from barloom.sources.tables import order_bars, supplier_bars
+
+
+@pytest.fixture(scope="module", params=["order", "supplier"])
+def ranged(request, spark):
+    bars = (order_bars if request.param == "order" else supplier_bars)(spark, DATA)
+    return select.price_range(bars)
+
+
+def by_ticker(df, column):
+    return {k: g[column].to_numpy() for k, g in df.select("ticker", column).toPandas().groupby("ticker")}
+
+
+@pytest.mark.parametrize("bins", [10, 200])
+def test_histogram_equals_numpy(ranged, bins):
+    values = by_ticker(ranged, "price_diff")
+    out = distributions.histogram(ranged, "price_diff", bins).orderBy("ticker", "bin").toPandas()
+    for ticker, x in values.items():
+        mine = out[out.ticker == ticker]
+        counts, edges = np.histogram(x, bins)
+        assert mine["count"].tolist() == counts.tolist()
+        np.testing.assert_allclose(mine.left_edge, edges[:-1], atol=1e-6)
+        np.testing.assert_allclose(mine.density, np.histogram(x, bins, density=True)[0], rtol=1e-9)
+
+
+def test_histogram_ends_flat_series_and_view(make_bars):
+    out = distributions.histogram(make_bars([float(i) for i in range(11)]), "close").orderBy("bin").collect()
+    assert [r["count"] for r in out] == [1] * 9 + [2]
+    flat = distributions.histogram(make_bars([4.0] * 3), "close").orderBy("bin").collect()
+    assert [r["count"] for r in flat] == np.histogram([4.0] * 3)[0].tolist()
+    assert flat[0].left_edge == 3.5 and flat[-1].right_edge == 4.5
+    shown = distributions.histogram(make_bars([float(i) for i in range(11)]), "close", view=(2.5, 3.5))
+    assert [r.bin for r in shown.where("in_view").orderBy("bin").collect()] == [2, 3]
+
+
+@pytest.mark.parametrize("bins", [4096, 3])
+def test_quantiles_equal_numpy(ranged, bins):
+    probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    values = by_ticker(ranged, "price_diff")
+    out = distributions.quantiles(ranged, "price_diff", probabilities, bins).collect()
+    assert len(out) == len(values)
+    for row in out:
+        x = values[row.ticker]
+        assert row.n == len(x)
+        np.testing.assert_allclose([row[f"q{i}"] for i in range(7)], np.quantile(x, probabilities), rtol=1e-12)
+
+
+def test_quartiles_hand_made(make_bars):
+    row = distributions.quantiles(make_bars([1.0, 10.0, 3.0, 2.0]), "close", [0.25, 0.5, 0.75]).first()
+    assert (row.q0, row.q1, row.q2) == (1.75, 2.5, 4.75)
+    flat = distributions.quantiles(make_bars([4.0] * 5), "close", [0.25, 0.5]).first()
+    assert (flat.q0, flat.q1) == (4.0, 4.0)
+
+
+def test_box_and_outliers(ranged):
+    values = by_ticker(ranged, "price_diff")
+    outside = by_ticker(distributions.box_outliers(ranged, "price_diff"), "price_diff")
+    for row in distributions.box_stats(ranged, "price_diff").collect():
+        x = values[row.ticker]
+        q1, q3 = np.quantile(x, [0.25, 0.75])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert row.whisker_low == min(x[x >= low].min(), q1)
+        assert row.whisker_high == max(x[x <= high].max(), q3)
+        expected = np.sort(x[(x < low) | (x > high)])
+        assert row.n_outliers == len(expected)
+        assert np.sort(outside.get(row.ticker, np.array([]))).tolist() == expected.tolist()
