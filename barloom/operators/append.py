@@ -24,7 +24,7 @@ def newer_than_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
     sides); rows then look them up per segment, so a ticker with most of the new
     rows is spread over its segments.
     """
-    rows = with_segment(deduplicate(new.where(F.col(DAY).isNotNull())), DAY)
+    rows = with_segment(deduplicate(new), KEYS, DAY)
     known = per_series(rows, KEYS).join(latest_stored(stored), KEYS, "left")
     fresh = F.col("latest").isNull() | (F.col(DAY) > F.col("latest"))
     return attach(rows, known, KEYS).where(fresh).select(*new.columns)

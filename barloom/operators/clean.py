@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom.operators.series import (
     SEGMENT,
     attach,
+    days_between,
     inside_segment,
     later_segments,
     per_series,
@@ -33,19 +34,32 @@ def deduplicate(df: DataFrame, keys: Sequence[str] = ("ticker", "trading_date"),
 def calendar_spine(bars: DataFrame, keys: Sequence[str] = ("ticker",), day: str = "trading_date") -> DataFrame:
     """Every calendar day from the first to the last bar of each series."""
     span = bars.groupBy(*keys).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    return span.select(*keys, F.explode(F.sequence("_first", "_last", F.expr("interval 1 day"))).alias(day))
+    return days_between(span, keys, "_first", "_last", day).select(*keys, day)
 
 
 def calendar_fill(bars: DataFrame, keys: Sequence[str] = ("ticker",), day: str = "trading_date") -> DataFrame:
-    """Bars on every calendar day; days without a bar have nulls."""
-    filled = calendar_spine(bars, keys, day).join(bars, [*keys, day], "left")
-    return filled.select(*bars.columns)
+    """Bars on every calendar day; days without a bar have nulls.
+
+    The same rows as the calendar spine left-joined to the bars, but each bar is
+    expanded to the days up to the next bar, so no spine has to be shuffled.
+    """
+    rows = with_segment(bars, keys, day)
+    firsts = rows.groupBy(*keys, SEGMENT).agg(F.min(day).alias("_first_day"))
+    later = firsts.select(*keys, SEGMENT, F.min("_first_day").over(later_segments(keys)).alias("_later_day"))
+    following = F.coalesce(F.lead(day).over(inside_segment(keys, day)), F.col("_later_day"))
+    last = F.greatest(F.date_sub(following, 1), F.col(day))
+    spans = rows.join(later, [*keys, SEGMENT], "left").withColumn("_to", last)
+    each = F.explode(F.sequence(day, "_to", F.expr("interval 1 day")))
+    values = {c: F.when(F.col("_each") == F.col(day), F.col(c)) for c in bars.columns if c not in (*keys, day)}
+    filled = spans.withColumn("_each", each).withColumns(values)
+    return filled.withColumn(day, F.col("_each")).select(*bars.columns)
 
 
 def to_long(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """One row per series, attribute and day: ``ticker, attr, ds, y``."""
-    numbers = bars.select("ticker", F.col("trading_date").alias("ds"), *[F.col(a).cast("double") for a in attributes])
-    return numbers.unpivot(["ticker", "ds"], list(attributes), "attr", "y").select("ticker", "attr", "ds", "y")
+    pairs = [part for a in attributes for part in (F.lit(a), F.col(a).cast("double"))]
+    stacked = F.stack(F.lit(len(attributes)), *pairs).alias("attr", "y")
+    return bars.select("ticker", F.col("trading_date").alias("ds"), stacked).select("ticker", "attr", "ds", "y")
 
 
 def prepare_series(
@@ -64,7 +78,7 @@ def interpolate(series: DataFrame, keys: Sequence[str] = ("ticker", "attr"), day
     the next one and then expanded to the days it covers, so only known values
     are shuffled. A series without any known value has no rows.
     """
-    rows = with_segment(series.select(*keys, day, value), day)
+    rows = with_segment(series.select(*keys, day, value), keys, day)
     known_day = F.when(F.col(value).isNotNull(), F.col(day))
     summary = rows.groupBy(*keys, SEGMENT).agg(
         F.min(day).alias("_first_day"),
@@ -88,9 +102,9 @@ def interpolate(series: DataFrame, keys: Sequence[str] = ("ticker", "attr"), day
         .withColumn("_next_day", F.coalesce(F.lead(day).over(inside), F.col("_later_day")))
         .withColumn("_next_value", F.coalesce(F.lead(value).over(inside), F.col("_later_value")))
         .withColumn("_from", F.when(F.col(day) == F.col("_origin"), F.col("_start")).otherwise(F.col(day)))
-        .withColumn("_to", F.coalesce(F.date_sub("_next_day", 1), F.col("_stop")))
+        .withColumn("_to", F.greatest(F.coalesce(F.date_sub("_next_day", 1), F.col("_stop")), F.col(day)))
     )
-    slope = (F.col("_next_value") - F.col(value)) / F.datediff("_next_day", day)
+    slope = F.try_divide(F.col("_next_value") - F.col(value), F.datediff("_next_day", day))
     days = spans.withColumn("_slope", slope).withColumn(
         "_each", F.explode(F.sequence("_from", "_to", F.expr("interval 1 day")))
     )
@@ -130,6 +144,6 @@ def bounds(bars: DataFrame) -> DataFrame:
 
 def long_enough(bars: DataFrame, more_than: int, keys: Sequence[str] = ("ticker",), day: str = "trading_date") -> DataFrame:
     """Only the series with more than so many rows."""
-    rows = with_segment(bars, day)
+    rows = with_segment(bars, keys, day)
     counted = per_series(rows, keys, F.count(F.lit(1)).alias("_n"))
     return attach(rows, counted, keys).where(F.col("_n") > more_than).select(*bars.columns)

@@ -26,7 +26,7 @@ def histogram(df: DataFrame, value: str, bins: int = 10, view: tuple[float, floa
     Every bin has a row, empty ones too. A series with a single value gets a range
     of one around it. ``view`` marks the bins that overlap the displayed interval.
     """
-    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), DAY)
+    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), KEYS, DAY)
     half = F.when(F.col("_min") == F.col("_max"), F.lit(0.5)).otherwise(F.lit(0.0))
     limits = (
         per_series(rows, KEYS, F.min(value).alias("_min"), F.max(value).alias("_max"))
@@ -63,7 +63,7 @@ def histogram(df: DataFrame, value: str, bins: int = 10, view: tuple[float, floa
 
 def _value_counts(df: DataFrame, value: str) -> DataFrame:
     """Each distinct value of a series with its number of rows, dealt out to slots."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*KEYS, F.col(value).alias("_x"))
+    counted = df.where(F.col(value).isNotNull() & F.col("ticker").isNotNull()).groupBy(*KEYS, F.col(value).alias("_x"))
     return counted.agg(F.count(F.lit(1)).alias("_c")).withColumn(
         "_slot", F.pmod(F.xxhash64("_x"), F.lit(SLOTS)).cast("int")
     )
@@ -161,7 +161,7 @@ def box_stats(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
 
 def box_outliers(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
     """The rows beyond the whiskers, with the side they are on."""
-    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), DAY)
+    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), KEYS, DAY)
     fences = per_series(rows, KEYS).join(_fences(df, value, whisker), KEYS)
     side = F.when(F.col(value) < F.col("_low_fence"), F.lit("low")).when(
         F.col(value) > F.col("_high_fence"), F.lit("high")

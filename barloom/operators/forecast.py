@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.series import attach, per_series, with_segment
+from barloom.operators.series import attach, days_between, per_series, with_segment
 
 # Horizon, interval and priors of the forecast.
 HORIZON_DAYS = 7 * 8
@@ -43,7 +43,7 @@ def forecast_baseline(
     both the factors and the spread of the residuals follow. History and horizon
     are then generated from one row per series.
     """
-    rows = with_segment(series.select(*keys, "ds", "y"), "ds")
+    rows = with_segment(series.select(*keys, "ds", "y"), keys, "ds")
     day_number = F.unix_date("ds").cast("double")
     lines = per_series(
         rows,
@@ -53,9 +53,10 @@ def forecast_baseline(
         F.regr_slope(F.col("y"), day_number).alias("_slope"),
         F.regr_intercept(F.col("y"), day_number).alias("_level"),
     )
+    line = ["_start", "_stop", "_slope", "_level"]
     y, g = F.col("y"), F.col("_level") + F.col("_slope") * day_number
     by_weekday = (
-        attach(rows, lines.drop("_start", "_stop"), keys)
+        attach(rows, lines, keys)
         .withColumn("_g", g)
         .groupBy(*keys, F.dayofweek("ds").alias("_weekday"))
         .agg(
@@ -66,6 +67,7 @@ def forecast_baseline(
             F.sum(y * y).alias("_yy"),
             F.sum(y * F.col("_g")).alias("_yg"),
             F.sum(F.col("_g") * F.col("_g")).alias("_gg"),
+            *[F.max(c).alias(c) for c in line],
         )
     )
     f = F.col("_factor")
@@ -76,16 +78,17 @@ def forecast_baseline(
         F.sum("_n").alias("_n"),
         F.sum(F.col("_y") - f * F.col("_gs")).alias("_r"),
         F.sum(squares).alias("_rr"),
+        *[F.max(c).alias(c) for c in line],
     )
     variance = F.try_divide(F.col("_rr") - F.col("_r") * F.col("_r") / F.col("_n"), F.col("_n") - 1)
     sigma = F.sqrt(F.greatest(variance, F.lit(0.0)))
-    models = lines.join(fitted.withColumn("_sigma", sigma), list(keys))
+    models = fitted.withColumn("_sigma", sigma)
     if isinstance(horizon, DataFrame):
         models = models.join(horizon.select(*keys, "horizon"), list(keys))
     else:
         models = models.withColumn("horizon", F.lit(horizon))
     last = F.date_add("_stop", F.col("horizon").cast("int"))
-    days = models.withColumn("ds", F.explode(F.sequence("_start", last, F.expr("interval 1 day"))))
+    days = days_between(models.withColumn("_last", last), keys, "_start", "_last", "ds")
     yhat = g * F.element_at("_factors", F.dayofweek("ds"))
     return days.withColumn("yhat", yhat).select(
         *keys,

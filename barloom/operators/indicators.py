@@ -29,7 +29,7 @@ def returns(bars: DataFrame, price: str = "close") -> DataFrame:
     telescopes to price / first price, which needs no running product. After a
     price of zero the product is undefined, so it is null from then on.
     """
-    rows = with_segment(bars, DAY)
+    rows = with_segment(bars, KEYS, DAY)
     known = F.when(F.col(price).isNotNull(), F.col(DAY))
     summary = rows.groupBy(*KEYS, SEGMENT).agg(
         F.max_by(price, known).alias("_last"),
@@ -65,7 +65,7 @@ def moving_stats(bars: DataFrame, price: str = "close", short: int = 20, long: i
     Null until the frame is full, and the long average only in series longer than it.
     """
     blocks = in_blocks(with_position(bars, KEYS, DAY), before=long - 1)
-    order = inside_block(KEYS)
+    order = inside_block(KEYS, DAY)
     near, far = order.rowsBetween(1 - short, 0), order.rowsBetween(1 - long, 0)
     near_full = F.count(price).over(near) == short
     far_full = (F.count(price).over(far) == long) & (F.col(LENGTH) > long)
@@ -97,7 +97,7 @@ def accumulation_distribution(bars: DataFrame) -> DataFrame:
     """Add the money flow volume of each day and its running sum; a flat day contributes nothing."""
     high, low, close = F.col("high"), F.col("low"), F.col("close")
     flow = F.try_divide((close - low) - (high - close), high - low) * F.col("volume")
-    rows = with_segment(bars, DAY).withColumn("money_flow_volume", F.coalesce(flow, F.lit(0.0)))
+    rows = with_segment(bars, KEYS, DAY).withColumn("money_flow_volume", F.coalesce(flow, F.lit(0.0)))
     totals = rows.groupBy(*KEYS, SEGMENT).agg(F.sum("money_flow_volume").alias("_total"))
     carried = totals.select(
         *KEYS, SEGMENT, F.coalesce(F.sum("_total").over(earlier_segments(KEYS)), F.lit(0.0)).alias("_carried")

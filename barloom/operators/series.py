@@ -22,6 +22,7 @@ window after the join needs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,8 +41,14 @@ def segment_of(day: str) -> Column:
     return F.floor(F.unix_date(day) / SEGMENT_DAYS).cast("int")
 
 
-def with_segment(df: DataFrame, day: str) -> DataFrame:
-    return df.withColumn(SEGMENT, segment_of(day))
+def with_segment(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Add the segment; a row without key or date belongs to no series and is left out.
+
+    Joins imply that filter for one of their sides. Stated here it holds for
+    all uses of the rows, so they share one scan and one shuffle.
+    """
+    placed = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*keys, day)])
+    return df.where(placed).withColumn(SEGMENT, segment_of(day))
 
 
 def inside_segment(keys: Sequence[str], day: str) -> WindowSpec:
@@ -77,7 +84,7 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def with_position(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     """Add each row's 1-based position in its series and the length of the series."""
-    rows = with_segment(df, day)
+    rows = with_segment(df, keys, day)
     counts = rows.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.select(
         *keys,
@@ -93,6 +100,22 @@ def with_position(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     )
 
 
+def days_between(df: DataFrame, keys: Sequence[str], first: str, last: str, name: str) -> DataFrame:
+    """One row per calendar day from ``first`` to ``last``.
+
+    A few short rows become very many, so spans are cut at segment borders and
+    spread over all tasks before they are expanded.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = df.withColumn(SEGMENT, F.explode(F.sequence(segment_of(first), segment_of(last))))
+    start = F.date_from_unix_date(F.col(SEGMENT) * SEGMENT_DAYS)
+    lo, hi = F.greatest(F.col(first), start), F.least(F.col(last), F.date_add(start, SEGMENT_DAYS - 1))
+    expanded = pieces.repartition(tasks, *keys, SEGMENT).withColumn(
+        name, F.explode(F.sequence(lo, hi, F.expr("interval 1 day")))
+    )
+    return expanded.drop(SEGMENT)
+
+
 def _block_at(position: Column) -> Column:
     return F.floor((position - 1) / BLOCK_ROWS).cast("int")
 
@@ -107,8 +130,9 @@ def in_blocks(positioned: DataFrame, before: int = 0, after: int = 0) -> DataFra
     return positioned.withColumn(BLOCK, F.explode(F.sequence(first, last)))
 
 
-def inside_block(keys: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, BLOCK).orderBy(POSITION)
+def inside_block(keys: Sequence[str], day: str) -> WindowSpec:
+    """The rows of one block, copies included, by date."""
+    return Window.partitionBy(*keys, BLOCK).orderBy(day)
 
 
 def home_rows(blocks: DataFrame) -> DataFrame:

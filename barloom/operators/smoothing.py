@@ -30,7 +30,7 @@ def savgol(bars: DataFrame, value: str = "price_diff", window: int = 31, degree:
     """
     half, reach = window // 2, window - 1
     blocks = in_blocks(with_position(bars, KEYS, DAY), before=reach, after=reach)
-    around = inside_block(KEYS).rowsBetween(-reach, reach)
+    around = inside_block(KEYS, DAY).rowsBetween(-reach, reach)
     nearby = F.collect_list(F.coalesce(F.col(value), F.lit(float("nan")))).over(around)
     table = ",".join("array(" + ",".join(f"{w!r}D" for w in row) + ")" for row in smoothing_weights(window, degree).tolist())
     # The window starts at row `_start`; the list of nearby rows starts at row max(position - reach, 1).
@@ -60,7 +60,7 @@ def seasonal_decompose(bars: DataFrame, value: str = "close", period: int = 30,
     if rows is not None:
         placed = placed.where(F.col(POSITION) <= rows).withColumn(LENGTH, F.least(F.col(LENGTH), F.lit(rows)))
     blocks = in_blocks(placed.where(F.col(LENGTH) >= 2 * period), before=half, after=half)
-    order = inside_block(KEYS)
+    order = inside_block(KEYS, DAY)
     if period % 2 == 0:
         inner = F.sum(value).over(order.rowsBetween(1 - half, half - 1))
         ends = F.lag(value, half).over(order) + F.lead(value, half).over(order)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from barloom.operators import distributions, indicators, select, smoothing
 from barloom.operators.append import newer_than_stored
-from barloom.operators.clean import bounds, calendar_fill, deduplicate, interpolate, to_long
+from barloom.operators.clean import bounds, deduplicate, interpolate, to_long
 from barloom.operators.forecast import HORIZON_DAYS, beside_actual, forecast_additive, forecast_baseline
+from barloom.operators.series import attach, per_series, with_segment
 from barloom.schema import ATTRIBUTES, LANDED
 from barloom.sources.payloads import flatten_payloads
 from barloom.sources.stored import append_bars, read_or_empty
@@ -37,16 +38,32 @@ def forecast(bars: DataFrame, model: str = "additive", horizon: int = HORIZON_DA
 def validate(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """Fit on the first four fifths of each calendar, predict the rest, set both beside the known values.
 
-    Bars must be unique by ticker and day.
+    Bars must be unique by ticker and day. Every day between the first and the
+    last bar has a row; the cut follows from these two days alone, so the
+    calendar itself is not built before the forecast.
     """
-    filled = to_long(calendar_fill(bars), attributes)
-    parts = select.train_valid_split(filled, ["ticker", "attr"], "ds")
-    train = interpolate(parts.where(F.col("part") == "train").drop("part"))
-    horizon = parts.groupBy("ticker", "attr").agg(F.count_if(F.col("part") == "valid").alias("horizon"))
-    predicted = forecast_baseline(train, horizon=horizon)
-    return beside_actual(predicted, parts).join(
-        parts.select("ticker", "attr", "ds", "part"), ["ticker", "attr", "ds"], "left"
+    keys = ["ticker"]
+    placed = with_segment(bars, keys, "trading_date")
+    spans = (
+        per_series(placed, keys, F.min("trading_date").alias("_first"), F.max("trading_date").alias("_last"))
+        .withColumn("_days", F.datediff("_last", "_first") + 1)
+        .withColumn("_train", F.floor(F.col("_days") * 4 / 5).cast("int"))
+        .withColumn("_cut", F.date_add("_first", F.col("_train") - 1))
     )
+    known = attach(placed, spans, keys).where(F.col("trading_date") <= F.col("_cut")).select(*bars.columns)
+    # A null on the cut makes the training calendar reach it.
+    ends = spans.select("ticker", F.col("_cut").alias("trading_date"))
+    train = interpolate(to_long(known.unionByName(ends, allowMissingColumns=True), attributes))
+    horizon = spans.select(
+        "ticker",
+        F.explode(F.array(*[F.lit(a) for a in attributes])).alias("attr"),
+        (F.col("_days") - F.col("_train")).alias("horizon"),
+    )
+    both = beside_actual(forecast_baseline(train, horizon=horizon), to_long(bars, attributes))
+    cuts = spans.select("ticker", "_first_segment", "_last_segment", "_cut")
+    part = F.when(F.col("ds") <= F.col("_cut"), F.lit("train")).otherwise(F.lit("valid"))
+    labelled = attach(with_segment(both, keys, "ds"), cuts, keys).withColumn("part", part)
+    return labelled.select(*both.columns, "part")
 
 
 def charts(bars: DataFrame) -> dict[str, DataFrame]:

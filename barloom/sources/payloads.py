@@ -45,5 +45,5 @@ def pack_payloads(bars: DataFrame) -> DataFrame:
         *[F.col(c).alias(api[c]) for c in ("open", "high", "low", "close", "volume")],
         F.concat(day_text("trading_date"), F.lit("T00:00:00.000Z")).alias(api["trading_date"]),
     )
-    answers = with_segment(bars, "trading_date").groupBy("ticker", SEGMENT).agg(F.collect_list(element).alias("data"))
+    answers = with_segment(bars, ["ticker"], "trading_date").groupBy("ticker", SEGMENT).agg(F.collect_list(element).alias("data"))
     return answers.select(F.lit(200).alias("status"), F.to_json(F.struct("ticker", "data")).alias("payload"))
