@@ -79,7 +79,7 @@ fc as (select d.ticker, d.attr, d.ds,
        join sd on sd.ticker = d.ticker and sd.attr = d.attr)"""
 
 
-FC_COLUMNS = "round(yhat, 3) as yhat, round(yhat - half, 3) as yhat_lower, round(yhat + half, 3) as yhat_upper"
+FC_COLUMNS = "round(yhat, 1) as yhat, round(yhat - half, 1) as yhat_lower, round(yhat + half, 1) as yhat_upper"
 
 BASELINE = f"with {ORDER_BARS}, {LONG}, {_regular('long', 'reg')}, hz as (select distinct ticker, attr, 56 as horizon from long), {_line('reg', 'hz')}"
 
@@ -109,7 +109,7 @@ STATS = """stats as (
 def _panel(bars: str) -> str:
     return f"""with {bars}, {STATS}
 select ticker, trading_date, open, close, volume, round(ma20, 4) as ma20, round(ma150, 4) as ma150,
-       round(ma20 - 2 * std20, 4) as lower_band, round(ma20 + 2 * std20, 4) as upper_band from stats"""
+       round(ma20 - 2 * std20, 2) as lower_band, round(ma20 + 2 * std20, 2) as upper_band from stats"""
 
 
 def _histogram(values: str, value: str, bins: int) -> str:
@@ -188,6 +188,16 @@ e as (select ticker, cast((row_number() over (order by ticker) - 1) % {WORKERS}
              cast(epoch(date '{AS_OF}' - 25) as bigint) as from_epoch, cast(epoch(date '{AS_OF}') as bigint) as to_epoch from t)
 select ticker, stripe, from_epoch, to_epoch,
        '{ENDPOINT}?ticker=' || ticker || '&type=stock&resolution=D&from=' || from_epoch || '&to=' || to_epoch as url from e""",
+    "payload_rejects": """
+select case when event_type = 'error' then 500 else 200 end as status, props as payload from events""",
+    "kth_ticker": "select distinct cast(l_suppkey as varchar) as ticker from lineitem order by ticker limit 1 offset 2",
+    "append_missing": f"""
+with {ORDER_BARS}, stored as (select * from bars where trading_date < date '{HISTORY_END}' and ticker <> '{NEW_TICKER}')
+select * from bars where not exists (
+  select 1 from stored s where s.ticker = bars.ticker and s.trading_date = bars.trading_date)""",
+    "calendar_spine": f"""
+with {ORDER_BARS}, span as (select ticker, min(trading_date) as lo, max(trading_date) as hi from bars group by 1)
+select ticker, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as trading_date from span""",
     "dedup_latest": """
 select ticker, trading_date, order_key, price from (
   select o_orderpriority as ticker, cast(o_orderdate as date) as trading_date, o_orderkey as order_key, o_totalprice as price,
@@ -246,11 +256,11 @@ with {ORDER_BARS} select ticker, trading_date, close from (
     "supplier_returns": _returns(SUPPLIER_BARS),
     "moving_stats": f"""
 with {ORDER_BARS}, {STATS}
-select ticker, trading_date, round(ma20, 4) as ma20, round(std20, 4) as std20, round(ma150, 4) as ma150 from stats""",
+select ticker, trading_date, round(ma20, 4) as ma20, round(std20, 2) as std20, round(ma150, 4) as ma150 from stats""",
     "bollinger": f"""
 with {ORDER_BARS}, {STATS}
-select ticker, trading_date, close, round(ma20, 4) as ma20, round(ma20 - 2 * std20, 4) as lower_band,
-       round(ma20 + 2 * std20, 4) as upper_band from stats""",
+select ticker, trading_date, close, round(ma20, 4) as ma20, round(ma20 - 2 * std20, 2) as lower_band,
+       round(ma20 + 2 * std20, 2) as upper_band from stats""",
     "indicator_panel": _panel(ORDER_BARS),
     "supplier_panel": _panel(SUPPLIER_BARS),
     "accumulation_distribution": f"""
@@ -279,7 +289,7 @@ from fenced where x < lo or x > hi""",
     "forecast_baseline": f"{BASELINE} select ticker, attr, ds, {FC_COLUMNS} from fc",
     "forecast_vs_actual": f"""{BASELINE}
 select coalesce(fc.ticker, l.ticker) as ticker, coalesce(fc.attr, l.attr) as attr, coalesce(fc.ds, l.ds) as ds,
-       round(y, 3) as y, {FC_COLUMNS}, y between yhat - half and yhat + half as in_interval
+       y, {FC_COLUMNS}, y between yhat - half and yhat + half as in_interval
 from fc full outer join long l on l.ticker = fc.ticker and l.attr = fc.attr and l.ds = fc.ds""",
     "forecast_validation": f"""
 with {ORDER_BARS}, {LONG},
@@ -293,7 +303,7 @@ train as (select * from parts where part = 'train'),
 {_regular('train', 'reg')},
 hz as (select ticker, attr, count(*) filter (where part = 'valid') as horizon from parts group by 1, 2),
 {_line('reg', 'hz')}
-select parts.ticker, parts.attr, parts.ds, round(y, 3) as y, {FC_COLUMNS},
+select parts.ticker, parts.attr, parts.ds, y, {FC_COLUMNS},
        y between yhat - half and yhat + half as in_interval, part
 from parts left join fc on fc.ticker = parts.ticker and fc.attr = parts.attr and fc.ds = parts.ds""",
     "weekly_slice": """

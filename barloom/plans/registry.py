@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.dates import midnight, shift_to_utc
 from barloom.operators import clean, distributions, indicators, select, smoothing
-from barloom.operators.append import newer_than_stored
+from barloom.operators.append import missing_from_stored, newer_than_stored
 from barloom.operators.forecast import beside_actual, forecast_additive, forecast_baseline
 from barloom.plans import flows
 from barloom.plans.settings import (
@@ -26,7 +26,7 @@ from barloom.plans.settings import (
 )
 from barloom.session import shared_folder
 from barloom.sources import listing
-from barloom.sources.payloads import flatten_payloads, pack_payloads
+from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_payloads
 from barloom.sources.tables import order_bars, supplier_bars, table
 from barloom.streaming.append import append_stream, stored_bars
 from barloom.streaming.slices import weekly_slices
@@ -47,6 +47,18 @@ def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_payloads(pack_payloads(order_bars(spark, folder)))
 
 
+def payload_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Usable responses mixed with texts that are none, some of them with a bad status."""
+    status = F.when(F.col("event_type") == "error", 500).otherwise(200)
+    others = table(spark, folder, "events").select(status.alias("status"), F.col("props").alias("payload"))
+    return rejected_payloads(pack_payloads(order_bars(spark, folder)).unionByName(others))
+
+
+def kth_ticker(spark: SparkSession, folder: str) -> DataFrame:
+    suppliers = table(spark, folder, "lineitem").select(F.col("l_suppkey").cast("string").alias("ticker"))
+    return listing.kth_ticker(listing.universe(suppliers), 2)
+
+
 def request_plan(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = table(spark, folder, "lineitem").select(F.col("l_suppkey").cast("string").alias("ticker"))
     start, end = listing.recent_window(F.lit(AS_OF).cast("date"))
@@ -74,6 +86,11 @@ def incremental_append(spark: SparkSession, folder: str) -> DataFrame:
     return newer_than_stored(bars, _stored_part(bars))
 
 
+def append_missing(spark: SparkSession, folder: str) -> DataFrame:
+    bars = order_bars(spark, folder)
+    return missing_from_stored(bars, _stored_part(bars))
+
+
 def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     """Land the stored part, stream it in, land everything, stream again; the result is the whole table."""
     bars = order_bars(spark, folder)
@@ -112,6 +129,10 @@ def series_mode(spark: SparkSession, folder: str) -> DataFrame:
     return clean.mode_of(by_year, "ticker", by=["year"])
 
 
+def calendar_spine(spark: SparkSession, folder: str) -> DataFrame:
+    return clean.calendar_spine(order_bars(spark, folder))
+
+
 def calendar_fill(spark: SparkSession, folder: str) -> DataFrame:
     return clean.calendar_fill(order_bars(spark, folder))
 
@@ -153,7 +174,7 @@ def _returns(bars: DataFrame) -> DataFrame:
 
 
 def _panel(bars: DataFrame) -> DataFrame:
-    return rounded(indicators.indicator_panel(bars), 4, "ma20", "ma150", "lower_band", "upper_band")
+    return rounded(rounded(indicators.indicator_panel(bars), 4, "ma20", "ma150"), 2, "lower_band", "upper_band")
 
 
 def returns(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,13 +187,14 @@ def supplier_returns(spark: SparkSession, folder: str) -> DataFrame:
 
 def moving_stats(spark: SparkSession, folder: str) -> DataFrame:
     stats = indicators.moving_stats(order_bars(spark, folder))
-    return rounded(stats.select("ticker", "trading_date", "ma20", "std20", "ma150"), 4, "ma20", "std20", "ma150")
+    stats = stats.select("ticker", "trading_date", "ma20", "std20", "ma150")
+    return rounded(rounded(stats, 4, "ma20", "ma150"), 2, "std20")
 
 
 def bollinger(spark: SparkSession, folder: str) -> DataFrame:
     bands = indicators.bollinger(order_bars(spark, folder))
     bands = bands.select("ticker", "trading_date", "close", "ma20", "lower_band", "upper_band")
-    return rounded(bands, 4, "ma20", "lower_band", "upper_band")
+    return rounded(rounded(bands, 4, "ma20"), 2, "lower_band", "upper_band")
 
 
 def indicator_panel(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,7 +269,7 @@ def supplier_seasonal(spark: SparkSession, folder: str) -> DataFrame:
 
 def baseline(spark: SparkSession, folder: str) -> DataFrame:
     out = forecast_baseline(flows.regular_series(order_bars(spark, folder)))
-    return rounded(out, 3, "yhat", "yhat_lower", "yhat_upper")
+    return rounded(out, 1, "yhat", "yhat_lower", "yhat_upper")
 
 
 def additive(spark: SparkSession, folder: str) -> DataFrame:
@@ -257,16 +279,15 @@ def additive(spark: SparkSession, folder: str) -> DataFrame:
 def forecast_vs_actual(spark: SparkSession, folder: str) -> DataFrame:
     bars = order_bars(spark, folder)
     out = beside_actual(forecast_baseline(flows.regular_series(bars)), clean.to_long(bars))
-    return rounded(out, 3, "y", "yhat", "yhat_lower", "yhat_upper")
+    return rounded(out, 1, "yhat", "yhat_lower", "yhat_upper")
 
 
 def forecast_validation(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(flows.validate(order_bars(spark, folder)), 3, "y", "yhat", "yhat_lower", "yhat_upper")
+    return rounded(flows.validate(order_bars(spark, folder)), 1, "yhat", "yhat_lower", "yhat_upper")
 
 
 def weekly_slice(spark: SparkSession, folder: str) -> DataFrame:
-    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return rounded(weekly_slices(events), 2, "total")
+    return rounded(weekly_slices(table(spark, folder, "events")), 2, "total")
 
 
 def utc_shift(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,9 +304,12 @@ QUERIES: dict[str, Query] = {
     "bars": order_bars,
     "supplier_bars": supplier_bars,
     "payload_flatten": payload_flatten,
+    "payload_rejects": payload_rejects,
+    "kth_ticker": kth_ticker,
     "request_plan": request_plan,
     "dedup_latest": dedup_latest,
     "incremental_append": incremental_append,
+    "append_missing": append_missing,
     "stream_append": stream_append,
     "size_capped": size_capped,
     "price_range": price_range,
@@ -293,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "bars_between": bars_between,
     "date_bounds": date_bounds,
     "series_mode": series_mode,
+    "calendar_spine": calendar_spine,
     "calendar_fill": calendar_fill,
     "interpolate": interpolate,
     "prepare_series": prepare_series,
