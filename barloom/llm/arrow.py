@@ -6,13 +6,25 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Characters of text that are turned into Python objects at a time.
 CHUNK_CHARS = 1 << 20
 
 
+#: Rows of an Arrow batch at most, so that batches of very long texts fit a worker.
+BATCH_ROWS = 1000
+
+
+def batch_limit(spark: SparkSession) -> None:
+    """Lower the session's limit of rows in an Arrow batch, if it is higher."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def pieces(batch: pa.RecordBatch, column: str, chars: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``chars`` bytes of one string or binary column, one row at least."""
     if not batch.num_rows:
@@ -42,7 +54,7 @@ def with_columns(
     kept = [c for c in df.columns if c not in names or c == column]
     shown = [c for c in kept if c not in names]
     schema = T.StructType([*[df.schema[c] for c in shown], *added])
-    types = [T_TO_ARROW[type(f.dataType)] for f in added]
+    types = [to_arrow_type(f.dataType) for f in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -51,13 +63,5 @@ def with_columns(
                 arrays = [pa.array(v, t) for v, t in zip(made, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in shown], *arrays], [*shown, *names])
 
+    batch_limit(df.sparkSession)
     return df.select(*[f"`{c}`" for c in kept]).mapInArrow(run, schema)
-
-
-T_TO_ARROW = {
-    T.LongType: pa.int64(),
-    T.IntegerType: pa.int32(),
-    T.DoubleType: pa.float64(),
-    T.StringType: pa.string(),
-    T.BinaryType: pa.binary(),
-}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, mixing, sharding, token_counts, url_filter
+from barloom.llm import bpe, mixing, near_dedup, sharding, token_counts, url_filter
 from barloom.llm.tables import stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,12 +74,17 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.groups(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op9_mixing": op9_mixing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
