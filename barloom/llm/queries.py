@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, mixing, near_dedup, sharding, token_counts, url_filter
+from barloom.llm import bpe, mixing, near_dedup, sharding, token_counts, toxicity, url_filter
 from barloom.llm.tables import stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,6 +46,14 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    scored = toxicity.score(docs, model).withColumn("held_out", held_out)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, folder, "documents").select("doc_id", "text"), PIECES_FILE)
     return counted.select("doc_id", "n_tokens")
@@ -81,6 +89,7 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op9_mixing": op9_mixing,
