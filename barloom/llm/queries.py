@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, mixing, near_dedup, sharding, token_counts, toxicity, url_filter
+from barloom.llm import bpe, edited, fingerprints, mixing, near_dedup, sharding, token_counts, toxicity, url_filter
 from barloom.llm.tables import stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,19 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = edited.beside_edited(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_string(F.col("signature")).alias("fingerprint"),
+        fingerprints.as_string(F.col("edited_signature")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        fingerprints.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
 def mix_targets(sizes: DataFrame) -> DataFrame:
     """Targets of the sources of ``source, size`` rows: weights 3, 1, 2, repeating, 150 % of all words, twice a source at most."""
     weights = F.array(*map(F.lit, MIX_WEIGHTS))
@@ -92,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
+    "op6_fingerprints": op6_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
 }
