@@ -18,11 +18,11 @@ CHUNK_CHARS = 1 << 20
 BATCH_ROWS = 1000
 
 
-def batch_limit(spark: SparkSession) -> None:
+def batch_limit(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Lower the session's limit of rows in an Arrow batch, if it is higher."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name)) > BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
 
 
 def pieces(batch: pa.RecordBatch, column: str, chars: int = CHUNK_CHARS) -> Iterator[pa.RecordBatch]:

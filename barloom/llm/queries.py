@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, edited, fingerprints, mixing, near_dedup, sharding, token_counts, toxicity, url_filter
+from barloom.llm import bpe, edited, fingerprints, mixing, near_dedup, sharding, token_counts, topk, toxicity, url_filter
 from barloom.llm.tables import stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +78,11 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
 def mix_targets(sizes: DataFrame) -> DataFrame:
     """Targets of the sources of ``source, size`` rows: weights 3, 1, 2, repeating, 150 % of all words, twice a source at most."""
     weights = F.array(*map(F.lit, MIX_WEIGHTS))
@@ -106,11 +111,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op6_fingerprints": op6_fingerprints,
+    "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_topk": """
+with scaled as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from scaled q join scaled c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+""",
     "op5_url_filter": r"""
 with parts as (
     select page_id,
