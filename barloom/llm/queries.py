@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, edited, fingerprints, mixing, near_dedup, sharding, token_counts, topk, toxicity, url_filter
+from barloom.llm import bpe, edited, fingerprints, html_text, mixing, near_dedup, sharding, token_counts, topk, toxicity, url_filter
 from barloom.llm.tables import stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +78,11 @@ def op6_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.fit(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return topk.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op6_fingerprints": op6_fingerprints,
+    "op7_html_text": op7_html_text,
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
