@@ -1,0 +1,127 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from helpers import ROWS, as_tables, documents
+
+from barloom.llm import near_dedup, queries, shingles
+from barloom.llm.near_dedup import REGISTERS, deduplicate, signatures
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingle_strings(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def expected(rows):
+    """Every pair of documents, by brute force."""
+    sets = [(r[0], shingle_strings(r[1])) for r in rows]
+    parent = {i: i for i, _ in sets if i is not None}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and i is not None and j is not None and 100 * len(a & b) >= 75 * len(a | b):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    out = []
+    for i, s in sets:
+        component = None if i is None else root(i)
+        out.append((i, len(s), component, component == i))
+    return sorted(out, key=str)
+
+
+def made(spark, monkeypatch, rows):
+    as_tables(monkeypatch, queries, documents=documents(spark, [(*r, None)[:3] for r in rows]))
+    return sorted((tuple(r) for r in queries.op10_near_dedup(spark, "").collect()), key=str)
+
+
+def family(rng, first, size, changes, words=80):
+    """Texts made from one by changing words, each from one made before."""
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts = [[rng.choice(vocabulary) for _ in range(words)]]
+    for _ in range(size - 1):
+        text = list(rng.choice(texts))
+        for _ in range(rng.randint(0, changes)):
+            text[rng.randrange(words)] = rng.choice(vocabulary)
+        texts.append(text)
+    return [(first + i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_odd_rows(spark, monkeypatch):
+    assert made(spark, monkeypatch, ROWS) == expected(ROWS)
+    assert made(spark, monkeypatch, []) == []
+
+
+@pytest.mark.parametrize("changes", [1, 3, 5])
+def test_families_and_chains_as_brute_force(spark, monkeypatch, changes):
+    rng = random.Random(changes)
+    rows = [r for k in range(6) for r in family(rng, 1000 * k, 12, changes)] + [(9000 + i, f"alone number {i}") for i in range(5)]
+    rows += [(10_000 + i, rows[3][1].upper()) for i in range(20)]
+    rng.shuffle(rows)
+    assert made(spark, monkeypatch, rows) == expected(rows)
+
+
+def test_more_rounds_and_listed_pairs_change_nothing(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [r for k in range(4) for r in family(rng, 1000 * k, 25, 4, 60)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows += [(5000 + i, passage + " " + " ".join(f"x{i}_{j}" for j in range(18 + i % 6))) for i in range(30)]
+    for rounds in (1, 3):
+        monkeypatch.setattr(near_dedup, "STAR_ROUNDS", rounds)
+        assert made(spark, monkeypatch, rows) == expected(rows)
+
+
+def test_repeated_ids_tie_their_texts(spark, monkeypatch):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(7, a), (7, b), (9, b), (3, a), (5, c), (5, c), (8, c + " more")]
+    got = made(spark, monkeypatch, rows)
+    assert {(r[0], r[2]) for r in got} == {(3, 3), (5, 5), (7, 3), (8, 5), (9, 3)}
+
+
+def test_the_stage_keeps_columns_and_one_row_each(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
+    rows = [(4, a, "s"), (2, a, "t"), (2, a, "t"), (3, b, None), (None, a, "u"), (6, None, None), (7, "", None)]
+    docs = documents(spark, rows).selectExpr("*", "doc_id as component_id", "'x' as kept", "1 as node", "2 as _dropped_")
+    out = deduplicate(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id for r in out.collect()), key=str) == [2, 3, 6, 7, None]
+
+
+def test_signatures_by_the_definition():
+    """Element by element: a shuffled permutation of registers, the draw plus its place."""
+    rng = np.random.default_rng(0)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (1, 2, 30, 700, 5000)] + [np.zeros(0, np.uint64)]
+    whole = signatures(sets)
+    for s, row in zip(sets, whole, strict=True):
+        assert (signatures([s])[0] == row).all()
+        least = np.full(REGISTERS, np.inf)
+        for x in s[:700]:
+            order = list(range(REGISTERS))
+            for j in range(REGISTERS):
+                draw = shingles.mixed(np.array([x]) + np.uint64((near_dedup._STEP * (j + 1)) % 2**64))
+                pick = j + int(shingles.mixed(draw)[0] % np.uint64(REGISTERS - j))
+                order[j], order[pick] = order[pick], order[j]
+                least[order[j]] = min(least[order[j]], (int(draw[0]) >> 11) * 2.0**-53 + j)
+        if len(s) <= 700:
+            assert (least == row).all()
+
+
+def test_signatures_estimate_similarity():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 2**63, (40, 300)).astype(np.uint64)
+    errors = []
+    for v in values:
+        a, b = signatures([v[:250], v[50:]])
+        errors.append((a == b).mean() - 200 / 300)
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.04

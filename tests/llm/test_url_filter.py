@@ -1,0 +1,55 @@
+import xxhash
+from helpers import as_tables, sql_rows
+
+from barloom.llm import queries, url_filter
+
+URLS = [
+    "http://tionsh.example.net/fr/25930", "https://WWW.Example.com/en/x", "https://example.com/en/", "https://a.example.com/en/q?x#y",
+    "https://www.example.com/en/x", "https://x.com", "http://x.com/", "http://x.com?/a", "http://com/en", "no scheme at all", "",
+    None, "a://b://c/d", "http://user@Host.NET:80/es/", "http://net/es/", "http://xnet/es/", "http://b.net/es", "://only/path",
+    "http://é.net/fr/ü", "http:///fr/", "http://a\nb.net/es/\n?x", "HTTP://B.NET/ES/", "http://b.net/es/es/#f",
+]
+
+
+def pages(spark, urls=URLS):
+    return spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+
+
+def test_query_equals_sql_and_the_join(spark, monkeypatch):
+    frame = pages(spark, URLS * 2)
+    as_tables(monkeypatch, queries, pages=frame)
+    got = sorted(map(tuple, queries.op5_url_filter(spark, "").collect()))
+    assert got == sorted(sql_rows(queries.ORACLE["op5_url_filter"], pages=frame.toPandas()))
+    monkeypatch.setattr(url_filter, "INDEXED_RULES", 1)
+    assert sorted(map(tuple, queries.op5_url_filter(spark, "").collect())) == got
+
+
+def test_longest_rule_wins_and_odd_rules(spark):
+    rules = [
+        ("b.net", "", "allow"), ("net", "/", "block"), ("net", "/x/", "allow"), ("a.b.net", "", "block"), (None, "/", "block"),
+        ("net", None, "block"), ("net", "/x/", "block"), ("", "", "block"), ("né.net", "/ü", "block"),
+    ]
+    urls = ["http://net/", "http://net/x/1", "http://b.net", "http://b.net/x/1", "http://a.b.net/", "http://q.a.b.net", "http://né.net/ü1", "http://c/"]
+    given = spark.createDataFrame(rules, "host string, path string, verdict string")
+    frame = pages(spark, urls).selectExpr("*", "1 as host", "2 as verdict", "3 as other")
+    rows = url_filter.judge(frame, given, "none").collect()
+    assert [(r.rule, r.verdict) for r in rows] == [
+        ("net/", "block"), ("net/x/", "allow"), ("b.net", "allow"), ("net/x/", "allow"), ("a.b.net", "block"), ("a.b.net", "block"),
+        ("né.net/ü", "block"), (None, "none"),
+    ]
+    assert url_filter.judge(frame, given.where("false"), "none").select("rule").distinct().collect()[0].rule is None
+    assert url_filter.judge(frame.where("false"), given).count() == 0
+
+
+def test_collisions_are_told_apart(tmp_path):
+    def same(key):
+        return xxhash.xxh64_intdigest(key) % 3
+
+    keys = [str(i).encode() for i in range(50)]
+    url_filter.write_index(keys, f"{tmp_path}/index", same)
+    index = url_filter.DigestIndex(f"{tmp_path}/index")
+    asked = [*keys, b"50", b"", b"x"]
+    found = index.find(asked, same)
+    assert [index.key(int(at)) if at >= 0 else None for at in found] == [*keys, None, None, None]
+    url_filter.write_index([], f"{tmp_path}/empty")
+    assert url_filter.DigestIndex(f"{tmp_path}/empty").find([b"a"]).tolist() == [-1]
