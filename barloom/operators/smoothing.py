@@ -47,27 +47,26 @@ def savgol(bars: DataFrame, value: str = "price_diff", window: int = 31, degree:
     return rows.withColumn("smoothed", smoothed).select(*bars.columns, "smoothed")
 
 
-def seasonal_decompose(bars: DataFrame, value: str = "close", period: int = 30, rows: int | None = 5000) -> DataFrame:
+def seasonal_decompose(bars: DataFrame, value: str = "close", period: int = 30) -> DataFrame:
     """Classical additive decomposition into trend, seasonal pattern and residual.
 
     The trend is the centred moving average (half weights at both ends for an
-    even period), the pattern the mean of the detrended values by position in
-    the period, centred. Only the first ``rows`` rows of a series enter (None:
-    all), and series shorter than two periods are left out.
+    even period), null where any of its values is missing. The pattern is the
+    mean of the detrended values by position in the period, centred. Every row
+    stays; in series shorter than two periods all three are null.
     """
     half = period // 2
     placed = with_position(bars.select(*KEYS, DAY, value), KEYS, DAY)
-    if rows is not None:
-        placed = placed.where(F.col(POSITION) <= rows).withColumn(LENGTH, F.least(F.col(LENGTH), F.lit(rows)))
-    blocks = in_blocks(placed.where(F.col(LENGTH) >= 2 * period), before=half, after=half)
+    blocks = in_blocks(placed, before=half, after=half)
     order = inside_block(KEYS, DAY)
     if period % 2 == 0:
-        inner = F.sum(value).over(order.rowsBetween(1 - half, half - 1))
+        frame, weights = order.rowsBetween(1 - half, half - 1), period - 1
         ends = F.lag(value, half).over(order) + F.lead(value, half).over(order)
-        average = (inner + 0.5 * ends) / period
     else:
-        average = F.sum(value).over(order.rowsBetween(-half, half)) / period
-    full = (F.col(POSITION) > half) & (F.col(POSITION) <= F.col(LENGTH) - half)
+        frame, weights, ends = order.rowsBetween(-half, half), period, F.lit(0.0)
+    whole = F.when(F.count(value).over(frame) == weights, F.sum(value).over(frame))
+    average = (whole + 0.5 * ends) / period
+    full = (F.col(POSITION) > half) & (F.col(POSITION) <= F.col(LENGTH) - half) & (F.col(LENGTH) >= 2 * period)
     trended = home_rows(blocks.withColumn("trend", F.when(full, average))).withColumn(
         "_phase", ((F.col(POSITION) - 1) % period).cast("int")
     )

@@ -6,6 +6,7 @@ from barloom.plans.settings import (
     AS_OF,
     BUDGET_MB,
     ENDPOINT,
+    GAP_EVERY,
     HISTORY_END,
     MORE_ROWS_THAN,
     NEW_TICKER,
@@ -29,6 +30,10 @@ SUPPLIER_BARS = """bars as (
          cast(sum(l_quantity) as bigint) as volume
   from lineitem group by 1, 2)"""
 
+GAPPY_BARS = f"""{ORDER_BARS.replace("bars as", "all_bars as", 1)},
+bars as (select * replace (case when date_diff('day', date '1970-01-01', trading_date) % {GAP_EVERY} = 0 then null else close end as close)
+         from all_bars)"""
+
 LONG = """long as (
   select ticker, 'close' as attr, trading_date as ds, close as y from bars
   union all select ticker, 'high', trading_date, high from bars
@@ -149,27 +154,32 @@ def _smoothed(bars: str) -> str:
 poly as (select x, 1.0::double as p0, x::double as p1, (x * x - 80)::double as p2, x * x * x - 719 * x / 5.0::double as p3
          from (select cast(unnest(range(-15, 16)) as integer) as x)),
 norm as (select sum(p0 * p0) as n0, sum(p1 * p1) as n1, sum(p2 * p2) as n2, sum(p3 * p3) as n3 from poly),
-hat as (select a.x as j, b.x as k, a.p0 * b.p0 / n0 + a.p1 * b.p1 / n1 + a.p2 * b.p2 / n2 + a.p3 * b.p3 / n3 as w
-        from poly a, poly b, norm),
-seq as (select ticker, trading_date, x, row_number() over (partition by ticker order by trading_date) as p,
-               count(*) over (partition by ticker) as n from ranges),
-place as (select *, greatest(1, least(p - 15, n - 30)) as s from seq),
-fit as (select c.ticker, c.p, sum(h.w * o.x) as v
-        from place c join hat h on h.j = c.p - c.s - 15
-        join seq o on o.ticker = c.ticker and o.p = c.s + 15 + h.k
-        where c.n > 31 group by 1, 2)
+hat as materialized (
+  select a.x as j, b.x as k, a.p0 * b.p0 / n0 + a.p1 * b.p1 / n1 + a.p2 * b.p2 / n2 + a.p3 * b.p3 / n3 as w
+  from poly a, poly b, norm),
+seq as materialized (
+  select ticker, trading_date, x, row_number() over (partition by ticker order by trading_date) as p,
+         count(*) over (partition by ticker) as n from ranges),
+place as materialized (
+  select ticker, p, p - greatest(1, least(p - 15, n - 30)) - 15 as j, greatest(1, least(p - 15, n - 30)) + 15 as middle
+  from seq where n > 31),
+near as materialized (
+  select ticker, p, j, k, middle + k as at from (select *, cast(unnest(range(-15, 16)) as integer) as k from place)),
+weighed as materialized (select near.ticker, near.p, near.at, hat.w from near join hat on hat.j = near.j and hat.k = near.k),
+fit as (select weighed.ticker, weighed.p, sum(w * seq.x) as v
+        from weighed join seq on seq.ticker = weighed.ticker and seq.p = weighed.at group by 1, 2)
 select c.ticker, c.trading_date, round(c.x * 4096) / 4096 as price_diff, round(fit.v * 4096) / 4096 as smoothed
-from place c left join fit on fit.ticker = c.ticker and fit.p = c.p"""
+from seq c left join fit on fit.ticker = c.ticker and fit.p = c.p"""
 
 
 def _decomposed(bars: str) -> str:
     return f"""with {bars},
-seq as (select ticker, trading_date, close, row_number() over (partition by ticker order by trading_date) as p from bars),
-head as (select *, count(*) over (partition by ticker) as n from seq where p <= 5000),
-tr as (select *, case when p > 15 and p <= n - 15 then
+seq as (select ticker, trading_date, close, row_number() over (partition by ticker order by trading_date) as p,
+               count(*) over (partition by ticker) as n from bars),
+tr as (select *, case when n >= 60 and count(close) over (w rows between 14 preceding and 14 following) = 29 then
          (sum(close) over (w rows between 14 preceding and 14 following)
           + 0.5 * (lag(close, 15) over w + lead(close, 15) over w)) / 30 end as trend
-       from head where n >= 60 window w as (partition by ticker order by p)),
+       from seq window w as (partition by ticker order by p)),
 ph as (select ticker, (p - 1) % 30 as phase, avg(close - trend) as m from tr group by 1, 2),
 ce as (select ticker, phase, m - avg(m) over (partition by ticker) as seasonal from ph)
 select tr.ticker, tr.trading_date, tr.close, round(trend * 4096) / 4096 as trend, round(seasonal * 4096) / 4096 as seasonal,
@@ -286,6 +296,12 @@ from fenced where x < lo or x > hi""",
     "supplier_savgol": _smoothed(SUPPLIER_BARS),
     "seasonal_decompose": _decomposed(ORDER_BARS),
     "supplier_seasonal": _decomposed(SUPPLIER_BARS),
+    "seasonal_gaps": _decomposed(GAPPY_BARS),
+    "fill_missing": f"""
+with {ORDER_BARS}, span as (select ticker, min(trading_date) as lo, max(trading_date) as hi from bars group by 1),
+spine as (select ticker, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as trading_date from span)
+select s.ticker, s.trading_date, coalesce(open, 0) as open, close, coalesce(volume, 0) as volume
+from spine s left join bars b on b.ticker = s.ticker and b.trading_date = s.trading_date""",
     "forecast_baseline": f"{BASELINE} select ticker, attr, ds, {FC_COLUMNS} from fc",
     "forecast_vs_actual": f"""{BASELINE}
 select coalesce(fc.ticker, l.ticker) as ticker, coalesce(fc.attr, l.attr) as attr, coalesce(fc.ds, l.ds) as ds,

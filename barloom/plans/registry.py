@@ -16,6 +16,7 @@ from barloom.plans.settings import (
     AS_OF,
     BUDGET_MB,
     ENDPOINT,
+    GAP_EVERY,
     HISTORY_END,
     MORE_ROWS_THAN,
     NEW_TICKER,
@@ -267,6 +268,17 @@ def supplier_seasonal(spark: SparkSession, folder: str) -> DataFrame:
     return _decomposed(supplier_bars(spark, folder))
 
 
+def seasonal_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Decomposition of closes that are missing on some days."""
+    missing = F.unix_date("trading_date") % GAP_EVERY == 0
+    return _decomposed(order_bars(spark, folder).withColumn("close", F.when(~missing, F.col("close"))))
+
+
+def fill_missing(spark: SparkSession, folder: str) -> DataFrame:
+    filled = clean.fill_missing(clean.calendar_fill(order_bars(spark, folder)), 0, ["open", "volume"])
+    return filled.select("ticker", "trading_date", "open", "close", "volume")
+
+
 def baseline(spark: SparkSession, folder: str) -> DataFrame:
     out = forecast_baseline(flows.regular_series(order_bars(spark, folder)))
     return rounded(out, 1, "yhat", "yhat_lower", "yhat_upper")
@@ -342,6 +354,8 @@ QUERIES: dict[str, Query] = {
     "supplier_savgol": supplier_savgol,
     "seasonal_decompose": seasonal_decompose,
     "supplier_seasonal": supplier_seasonal,
+    "seasonal_gaps": seasonal_gaps,
+    "fill_missing": fill_missing,
     "forecast_baseline": baseline,
     "forecast_additive": additive,
     "forecast_vs_actual": forecast_vs_actual,

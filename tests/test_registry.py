@@ -7,6 +7,8 @@ import pytest
 from conftest import DATA
 
 import __spark_entry__ as entry_module
+from barloom.plans.oracle import ORACLE
+from barloom.plans.registry import QUERIES
 
 TABLES = ["orders", "lineitem", "events", "documents"]
 ROWS_ONLY = {"forecast_additive"}
@@ -31,13 +33,14 @@ def _sorted_rows(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, duck, name):
-    frame = entry_module.queries()[name](spark, DATA)
-    cursor = duck.execute(entry_module.oracle_sql()[name])
+    frame = QUERIES[name](spark, DATA)
+    cursor = duck.execute(ORACLE[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(frame.columns) == sorted(columns)
     assert _sorted_rows(frame.collect(), frame.columns) == _sorted_rows(cursor.fetchall(), columns)

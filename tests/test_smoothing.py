@@ -86,9 +86,25 @@ def test_decomposition_recovers_planted_parts(make_bars):
     np.testing.assert_allclose(column(out, "seasonal"), pattern, atol=1e-9)
 
 
-def test_decomposition_length_rules(make_bars):
-    assert smoothing.seasonal_decompose(make_bars([1.0] * 59)).count() == 0
-    assert smoothing.seasonal_decompose(make_bars([1.0] * 60)).count() == 60
-    y = np.random.default_rng(2).normal(10, 1, 100)
-    capped = smoothing.seasonal_decompose(make_bars(y.tolist()), rows=80)
-    np.testing.assert_allclose(column(capped, "trend"), brute_decompose(y[:80], 30)[0], atol=1e-9)
+def test_decomposition_keeps_every_row(make_bars, small_pieces):
+    short = smoothing.seasonal_decompose(make_bars([1.0] * 59))
+    assert short.count() == 59
+    assert short.where("trend is null and seasonal is null and resid is null").count() == 59
+    assert smoothing.seasonal_decompose(make_bars([1.0] * 60)).where("seasonal is not null").count() == 60
+
+
+def test_decomposition_of_a_long_series(make_bars):
+    y = np.random.default_rng(2).normal(10, 1, 6000)
+    out = smoothing.seasonal_decompose(make_bars(y.tolist()))
+    assert out.count() == 6000
+    np.testing.assert_allclose(column(out, "trend"), brute_decompose(y, 30)[0], atol=1e-9)
+
+
+@pytest.mark.parametrize("period", [30, 7])
+def test_decomposition_with_missing_values(make_bars, small_pieces, period):
+    y = np.random.default_rng(3).normal(10, 1, 150)
+    y[[60, 90]] = np.nan
+    given = [None if np.isnan(v) else float(v) for v in y]
+    out = smoothing.seasonal_decompose(make_bars(given), period=period)
+    for name, expected in zip(("trend", "seasonal", "resid"), brute_decompose(y, period)):
+        np.testing.assert_allclose(column(out, name), expected, atol=1e-9)
