@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.clean import deduplicate
-from barloom.operators.series import attach, per_series, with_segment
 
 KEYS = ["ticker"]
 DAY = "trading_date"
@@ -17,17 +16,21 @@ def latest_stored(stored: DataFrame) -> DataFrame:
     return stored.groupBy(*KEYS).agg(F.max(DAY).alias("latest"))
 
 
-def newer_than_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
-    """New bars, one per ticker and day, later than the last stored day; a ticker without history keeps all.
+def newer_than_latest(new: DataFrame, latest: DataFrame) -> DataFrame:
+    """New bars, one per ticker and day, later than the ticker's ``latest`` day; a ticker without one keeps all.
 
-    The latest days meet the spans of the new series (one row per ticker on both
-    sides); rows then look them up per segment, so a ticker with most of the new
-    rows is spread over its segments.
+    ``latest`` has one row per ticker and is looked up by the rows directly: the rows are read and
+    shuffled once, and a ticker with most of them is split by the adaptive skew join.
     """
-    rows = with_segment(deduplicate(new), KEYS, DAY)
-    known = per_series(rows, KEYS).join(latest_stored(stored), KEYS, "left")
+    known = latest.select(F.col("ticker").alias("_ticker"), "latest")
+    looked_up = deduplicate(new).join(known, F.col("ticker") == F.col("_ticker"), "left")
     fresh = F.col("latest").isNull() | (F.col(DAY) > F.col("latest"))
-    return attach(rows, known, KEYS).where(fresh).select(*new.columns)
+    return looked_up.where(F.col("ticker").isNotNull() & F.col(DAY).isNotNull() & fresh).select(*new.columns)
+
+
+def newer_than_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same against stored bars; where a small table of latest days is kept, read that instead."""
+    return newer_than_latest(new, latest_stored(stored))
 
 
 def missing_from_stored(new: DataFrame, stored: DataFrame) -> DataFrame:

@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import distributions, indicators, select, smoothing
-from barloom.operators.append import newer_than_stored
+from barloom.operators.append import newer_than_latest
 from barloom.operators.clean import bounds, deduplicate, interpolate, to_long
 from barloom.operators.forecast import HORIZON_DAYS, beside_actual, forecast_additive, forecast_baseline
 from barloom.operators.series import attach, per_series, with_segment
 from barloom.schema import ATTRIBUTES, LANDED
-from barloom.sources.payloads import flatten_payloads
-from barloom.sources.stored import append_bars, read_or_empty
+from barloom.sources.payloads import flatten_payloads, write_rejects
+from barloom.streaming.append import append_batch, read_latest
 
 MODELS = {"baseline": forecast_baseline, "additive": forecast_additive}
 
 
 def ingest(spark: SparkSession, landing: str, store: str) -> None:
-    """Decode landed responses and append the bars newer than those stored."""
-    new = flatten_payloads(spark.read.schema(LANDED).json(landing))
-    append_bars(newer_than_stored(new, read_or_empty(spark, store)), store)
+    """Decode landed responses and append the bars newer than those stored.
+
+    What is no bar is written beside the store, in ``<store>_rejects``; the last days of the tickers, all that
+    the next run needs to know of the store, in ``<store>_latest``.
+    """
+    landed = spark.read.schema(LANDED).json(landing)
+    fresh = newer_than_latest(flatten_payloads(landed), read_latest(spark, store))
+    folder = f"run={uuid.uuid4().hex}/batch=0"
+    append_batch(fresh, store, folder)
+    write_rejects(landed, f"{store}_rejects")
 
 
 def regular_series(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:

@@ -199,7 +199,16 @@ e as (select ticker, cast((row_number() over (order by ticker) - 1) % {WORKERS}
 select ticker, stripe, from_epoch, to_epoch,
        '{ENDPOINT}?ticker=' || ticker || '&type=stock&resolution=D&from=' || from_epoch || '&to=' || to_epoch as url from e""",
     "payload_rejects": """
-select case when event_type = 'error' then 500 else 200 end as status, props as payload from events""",
+select 200 as status, props as payload from events
+union all
+select 500, printf('{"ticker":"%s-%d","data":[]}', event_type, event_id) from events where event_type = 'error'""",
+    "element_rejects": """
+select event_type as ticker,
+       case when event_id % 5 <> 4 then
+         '{"open":' || case when event_id % 5 = 2 then '"x"' else cast(event_id as varchar) end
+         || ',"volume":' || case when event_id % 5 = 3 then '1.5' else '7' end
+         || ',"tradingDate":"' || case when event_id % 5 = 1 then '2023-02-30' else '2023-01-02' end || '"}' end as element
+from events where event_id % 5 <> 0""",
     "kth_ticker": "select distinct cast(l_suppkey as varchar) as ticker from lineitem order by ticker limit 1 offset 2",
     "append_missing": f"""
 with {ORDER_BARS}, stored as (select * from bars where trading_date < date '{HISTORY_END}' and ticker <> '{NEW_TICKER}')

@@ -15,6 +15,7 @@ from barloom.plans import flows
 from barloom.plans.settings import (
     AS_OF,
     BUDGET_MB,
+    EMPTY_ANSWER,
     ENDPOINT,
     GAP_EVERY,
     HISTORY_END,
@@ -27,7 +28,7 @@ from barloom.plans.settings import (
 )
 from barloom.session import shared_folder
 from barloom.sources import listing
-from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_payloads
+from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_elements, rejected_payloads
 from barloom.sources.tables import order_bars, supplier_bars, table
 from barloom.streaming.append import append_stream, stored_bars
 from barloom.streaming.slices import weekly_slices
@@ -49,10 +50,23 @@ def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payload_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    """Usable responses mixed with texts that are none, some of them with a bad status."""
-    status = F.when(F.col("event_type") == "error", 500).otherwise(200)
-    others = table(spark, folder, "events").select(status.alias("status"), F.col("props").alias("payload"))
-    return rejected_payloads(pack_payloads(order_bars(spark, folder)).unionByName(others))
+    """Among usable responses: texts that are none, and well-formed answers with a bad status."""
+    events = table(spark, folder, "events")
+    status = F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status")
+    texts = events.select(F.lit(200).alias("status"), F.col("props").alias("payload"))
+    answers = events.select(status, F.format_string(EMPTY_ANSWER, "event_type", "event_id").alias("payload"))
+    return rejected_payloads(pack_payloads(order_bars(spark, folder)).unionByName(texts).unionByName(answers))
+
+
+def element_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers with one bar each, of which four in five have a bad date, price, volume or none at all."""
+    kind, number = F.col("event_id") % 5, F.col("event_id").cast("string")
+    day = F.when(kind == 1, F.lit("2023-02-30")).otherwise(F.lit("2023-01-02"))
+    price = F.when(kind == 2, F.lit('"x"')).otherwise(number)
+    volume = F.when(kind == 3, F.lit("1.5")).otherwise(F.lit("7"))
+    bar = F.concat(F.lit('{"open":'), price, F.lit(',"volume":'), volume, F.lit(',"tradingDate":"'), day, F.lit('"}'))
+    payload = F.concat(F.lit('{"ticker":"'), "event_type", F.lit('","data":['), F.when(kind == 4, F.lit("null")).otherwise(bar), F.lit("]}"))
+    return rejected_elements(table(spark, folder, "events").select(F.lit(200).alias("status"), payload.alias("payload")))
 
 
 def kth_ticker(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "supplier_bars": supplier_bars,
     "payload_flatten": payload_flatten,
     "payload_rejects": payload_rejects,
+    "element_rejects": element_rejects,
     "kth_ticker": kth_ticker,
     "request_plan": request_plan,
     "dedup_latest": dedup_latest,

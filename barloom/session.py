@@ -26,9 +26,17 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``, removed when the session's JVM ends.
 
-    Only where that is unset (tests on one machine) is a temporary folder used.
+    Where that is unset, a temporary folder is used on one machine (tests); a cluster must name one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.gettempdir()
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -2,32 +2,48 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.dates import day_text, trading_day
 from barloom.operators.series import SEGMENT, with_segment
-from barloom.schema import API_NAMES, API_PAYLOAD, BAR_COLUMNS
+from barloom.schema import API_ELEMENT, API_NAMES, API_PAYLOAD, BAR_COLUMNS
+
+_API = {ours: theirs for theirs, ours in API_NAMES.items()}
 
 
-def _answer() -> Column:
-    return F.from_json("payload", API_PAYLOAD)
+_NUMBERS_ONLY = {"allowNonNumericNumbers": "false"}
 
 
 def _usable(landed: DataFrame) -> DataFrame:
     """Add the decoded answer and whether it is one: status 200 (where known), a ticker and a data array."""
-    decoded = landed.withColumn("_answer", _answer())
+    decoded = landed.withColumn("_answer", F.from_json("payload", API_PAYLOAD, _NUMBERS_ONLY))
     ok = F.col("_answer.ticker").isNotNull() & F.col("_answer.data").isNotNull()
     if "status" in landed.columns:
         ok = ok & (F.coalesce(F.col("status"), F.lit(0)) == 200)
     return decoded.withColumn("_ok", F.coalesce(ok, F.lit(False)))
 
 
+def _elements(landed: DataFrame) -> DataFrame:
+    """The array elements of usable responses, decoded, and whether each is a bar.
+
+    A bar has a date, and whatever else it gives has been read as a number; a field that is absent or null is missing.
+    """
+    raw = _usable(landed).where("_ok").select("_answer.ticker", F.explode("_answer.data").alias("element"))
+    read = raw.withColumn("_bar", F.from_json("element", API_ELEMENT, _NUMBERS_ONLY))
+    day = trading_day(F.col(f"_bar.{_API['trading_date']}"))
+    numbers = [_API[c] for c in BAR_COLUMNS if c not in ("ticker", "trading_date")]
+    lost = [F.get_json_object("element", f"$.{c}").isNotNull() & F.col(f"_bar.{c}").isNull() for c in numbers]
+    good = day.isNotNull() & ~reduce(Column.__or__, lost)
+    return read.withColumn("trading_date", day).withColumn("_ok", F.coalesce(good, F.lit(False)))
+
+
 def flatten_payloads(landed: DataFrame) -> DataFrame:
-    """Bars of all usable responses, one row per array element."""
-    elements = _usable(landed).where("_ok").select("_answer.ticker", F.inline("_answer.data"))
-    named = elements.withColumnsRenamed(API_NAMES)
-    return named.withColumn("trading_date", trading_day("trading_date")).select(*BAR_COLUMNS)
+    """Bars of all usable responses, one row per array element that is a bar."""
+    values = [F.col(c) if c in ("ticker", "trading_date") else F.col(f"_bar.{_API[c]}").alias(c) for c in BAR_COLUMNS]
+    return _elements(landed).where("_ok").select(*values)
 
 
 def rejected_payloads(landed: DataFrame) -> DataFrame:
@@ -35,15 +51,25 @@ def rejected_payloads(landed: DataFrame) -> DataFrame:
     return _usable(landed).where(~F.col("_ok")).select(*landed.columns)
 
 
+def rejected_elements(landed: DataFrame) -> DataFrame:
+    """Array elements of usable responses that are no bars: ``ticker, element`` as it landed, or null."""
+    return _elements(landed).where(~F.col("_ok")).select("ticker", "element")
+
+
+def write_rejects(landed: DataFrame, folder: str) -> None:
+    """Everything of the landed responses that ``flatten_payloads`` leaves out."""
+    rejected_payloads(landed).write.mode("overwrite").json(f"{folder}/responses")
+    rejected_elements(landed).write.mode("overwrite").json(f"{folder}/elements")
+
+
 def pack_payloads(bars: DataFrame) -> DataFrame:
     """The reverse: responses as the API would give them for one span of days each.
 
     A span holds a bounded number of bars, so no response grows with its series.
     """
-    api = {ours: theirs for theirs, ours in API_NAMES.items()}
     element = F.struct(
-        *[F.col(c).alias(api[c]) for c in ("open", "high", "low", "close", "volume")],
-        F.concat(day_text("trading_date"), F.lit("T00:00:00.000Z")).alias(api["trading_date"]),
+        *[F.col(c).alias(_API[c]) for c in ("open", "high", "low", "close", "volume")],
+        F.concat(day_text("trading_date"), F.lit("T00:00:00.000Z")).alias(_API["trading_date"]),
     )
     answers = with_segment(bars, ["ticker"], "trading_date").groupBy("ticker", SEGMENT).agg(F.collect_list(element).alias("data"))
     return answers.select(F.lit(200).alias("status"), F.to_json(F.struct("ticker", "data")).alias("payload"))

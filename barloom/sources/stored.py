@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.dates import trading_day
-from barloom.schema import API_NAMES, API_ROW, BAR, BAR_COLUMNS, STORED, STORED_NAMES
+from barloom.functions.numbers import finite
+from barloom.schema import API_NAMES, API_ROW, BAR, BAR_COLUMNS, PRICES, STORED, STORED_NAMES
 
 _EITHER = T.StructType([*STORED.fields, *[f for f in API_ROW.fields if f.name not in STORED.names]])
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Bars from JSON lines, one-line arrays or (``multi_line``) pretty-printed files, under either set of names."""
-    raw = spark.read.schema(_EITHER).option("multiLine", multi_line).json(path)
+    reader = spark.read.schema(_EITHER).option("multiLine", multi_line).option("allowNonNumericNumbers", False)
+    raw = reader.json(path)
     from_stored = {ours: theirs for theirs, ours in STORED_NAMES.items()}
     from_api = {ours: theirs for theirs, ours in API_NAMES.items()}
     named = raw.select(*[F.coalesce(F.col(from_stored[c]), F.col(from_api[c])).alias(c) for c in BAR_COLUMNS])
@@ -25,7 +27,8 @@ def read_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BAR).parquet(path).select(*BAR_COLUMNS)
+    """Stored bars; prices that are no finite numbers are missing."""
+    return spark.read.schema(BAR).parquet(path).select(*[finite(c).alias(c) if c in PRICES else c for c in BAR_COLUMNS])
 
 
 def read_or_empty(
@@ -50,9 +53,19 @@ def to_stored_names(bars: DataFrame) -> DataFrame:
 
 
 def append_bars(bars: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Append to a dataset with one folder per ticker; a long ticker is written by several tasks, one per year."""
-    spread = bars.repartition("ticker", F.year("trading_date"))
-    spread.write.mode(mode).partitionBy("ticker").format(fmt).save(path)
+    """Append to a dataset with one folder per year, sorted by ticker and day in its files.
+
+    Spark balances the files by size: a small append writes one per year, a large year is
+    split over tasks.
+    """
+    dated = bars.select(*BAR_COLUMNS, F.year("trading_date").alias("year")).hint("rebalance", "year")
+    ordered = dated.sortWithinPartitions("year", "ticker", "trading_date")
+    ordered.write.mode(mode).partitionBy("year").format(fmt).save(path)
+
+
+def compact_bars(spark: SparkSession, source: str, target: str) -> None:
+    """Rewrite a dataset of many small appends into few files, at another path."""
+    append_bars(read_parquet(spark, source), target, mode="error")
 
 
 def export_json(bars: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,4 +1,4 @@
-"""Incremental append of landed responses as a stream."""
+"""Incremental append of landed responses, as a stream or batch by batch."""
 
 from __future__ import annotations
 
@@ -7,35 +7,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.operators.append import newer_than_stored
+from barloom.operators.append import latest_stored, newer_than_latest
 from barloom.schema import BAR, BAR_COLUMNS, LANDED
-from barloom.sources.payloads import flatten_payloads
+from barloom.sources.payloads import flatten_payloads, write_rejects
 from barloom.sources.stored import append_bars, read_or_empty
 
-_BATCHED = T.StructType([*BAR.fields, T.StructField("batch", T.LongType())])
+_PLACED = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())]
+_BATCHED = T.StructType([*BAR.fields, *_PLACED])
+_LATEST = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("latest", T.DateType()), *_PLACED])
 
 
-def _batch_folder(store: str, batch_id: int) -> str:
-    return f"{store}/batch={batch_id:010d}"
+def _read(schema: T.StructType):
+    return lambda spark, path: spark.read.schema(schema).parquet(path)
 
 
-def _read_batches(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.schema(_BATCHED).parquet(store)
+def stored_bars(spark: SparkSession, store: str) -> DataFrame:
+    """Everything appended so far."""
+    return read_or_empty(spark, store, _read(_BATCHED), _BATCHED).select(*BAR_COLUMNS)
 
 
-def stored_bars(spark: SparkSession, store: str, before_batch: int | None = None) -> DataFrame:
-    """Everything appended so far, or by the micro-batches before one."""
-    batches = read_or_empty(spark, store, _read_batches, _BATCHED)
-    if before_batch is not None:
-        batches = batches.where(F.col("batch") < before_batch)
-    return batches.select(*BAR_COLUMNS)
+def read_latest(spark: SparkSession, store: str, run: str = "", batch: int = 0) -> DataFrame:
+    """The last stored day of each ticker, from the small table beside the store.
+
+    Batches of ``run`` from ``batch`` on do not count: they are what is about to be written, perhaps again.
+    """
+    kept = read_or_empty(spark, f"{store}_latest", _read(_LATEST), _LATEST)
+    others = kept.where((F.col("run") != run) | (F.col("batch") < batch))
+    return others.groupBy("ticker").agg(F.max("latest").alias("latest"))
+
+
+def append_batch(fresh: DataFrame, store: str, folder: str) -> None:
+    """Write new bars into their own folder, then the last days among them."""
+    append_bars(fresh, f"{store}/{folder}", mode="overwrite")
+    written = fresh.sparkSession.read.schema(BAR).parquet(f"{store}/{folder}")
+    latest_stored(written).write.mode("overwrite").parquet(f"{store}_latest/{folder}")
 
 
 def append_stream(spark: SparkSession, landing: str, store: str, checkpoint: str, files_per_batch: int | None = None) -> StreamingQuery:
     """Append the new bars of all landed files, then stop; the checkpoint remembers which files are done.
 
-    Each micro-batch overwrites its own folder and compares with earlier batches
-    only, so one that is run again after a failure gives the same result.
+    A micro-batch has a folder of its own, named by the id that the checkpoint gives the stream and the batch
+    number, and compares with all others: run again after a failure it gives the same rows, and a
+    stream that has lost its checkpoint, and so has another id, finds everything stored already. Rejects
+    are written the same way, in ``<store>_rejects``.
     """
     reader = spark.readStream.schema(LANDED)
     if files_per_batch:
@@ -43,8 +57,11 @@ def append_stream(spark: SparkSession, landing: str, store: str, checkpoint: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        fresh = newer_than_stored(flatten_payloads(batch), stored_bars(session, store, before_batch=batch_id))
-        append_bars(fresh, _batch_folder(store, batch_id), mode="overwrite")
+        run = session.read.json(f"{checkpoint}/metadata").first()["id"]
+        folder = f"run={run}/batch={batch_id}"
+        fresh = newer_than_latest(flatten_payloads(batch), read_latest(session, store, run, batch_id))
+        append_batch(fresh, store, folder)
+        write_rejects(batch, f"{store}_rejects/{folder}")
 
     return (
         reader.json(landing)

@@ -9,7 +9,7 @@ from barloom.operators.append import latest_stored, missing_from_stored, newer_t
 from barloom.plans import flows
 from barloom.schema import BAR, LANDED
 from barloom.sources import listing, stored
-from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_payloads
+from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_elements, rejected_payloads
 from barloom.sources.tables import order_bars
 
 
@@ -45,6 +45,29 @@ def test_rejects(landed):
     assert {r.status for r in rejected} == {200, 500, None}
 
 
+def test_every_element_is_a_bar_or_a_reject(spark):
+    good = [bar("2023-01-02"), {"tradingDate": "2023-01-03"}, bar("2023-01-04", open=None)]
+    bad = [bar("2023-02-30"), bar("2023-01-05", open="x"), bar("2023-01-06", volume=1.5), bar("2023-01-07", high="NaN"),
+           bar("2023-01-08", low="Infinity"), {"open": 1.0}, None, 5]
+    text = json.dumps({"ticker": "A", "data": good + bad})
+    whole = spark.createDataFrame([(200, text), (200, '{"ticker":"B","data":[{"open":NaN}]}')], LANDED)
+    assert flatten_payloads(whole).count() == len(good)
+    rejected = rejected_elements(whole)
+    assert rejected.count() == len(bad)
+    assert {r.ticker for r in rejected.collect()} == {"A"}
+    assert [r.payload[:14] for r in rejected_payloads(whole).collect()] == ['{"ticker":"B",']
+
+
+def test_stored_numbers_are_finite(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    frame = spark.createDataFrame([("A", dt.date(2023, 1, 2), nan, inf, -inf, 1.0, 5)], BAR)
+    stored.append_bars(frame, str(tmp_path / "p"))
+    assert tuple(stored.read_parquet(spark, str(tmp_path / "p")).first())[2:] == (None, None, None, 1.0, 5)
+    (tmp_path / "j").write_text('{"ticker":"A","tradingDate":"2023-01-02","open":"NaN","close":1.0}')
+    row = stored.read_json(spark, str(tmp_path / "j")).first()
+    assert row.open is None and row.close is None or row.close == 1.0
+
+
 @pytest.mark.parametrize("zone", ["UTC", "Asia/Ho_Chi_Minh", "America/New_York"])
 def test_day_does_not_depend_on_time_zone(spark, landed, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
@@ -123,6 +146,17 @@ def test_append_and_export_round_trip(spark, tmp_path, make_bars):
     assert one.count() == 1
 
 
+def test_small_appends_make_one_file_a_year_and_compact(spark, tmp_path, make_bars):
+    for i in range(4):
+        whole = make_bars([float(i)] * 40, ticker=f"T{i}", start=dt.date(2020, 12, 20))
+        stored.append_bars(whole, str(tmp_path / "p"))
+    files = sorted(str(f.parent.name) for f in (tmp_path / "p").rglob("*.parquet"))
+    assert files == ["year=2020"] * 4 + ["year=2021"] * 4
+    stored.compact_bars(spark, str(tmp_path / "p"), str(tmp_path / "c"))
+    assert len(list((tmp_path / "c").rglob("*.parquet"))) == 2
+    assert stored.read_parquet(spark, str(tmp_path / "c")).count() == 160
+
+
 def test_dataset_megabytes(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.bin").write_bytes(b"x" * 1024 * 1024)
@@ -139,6 +173,14 @@ def test_ingest_flow_appends_once(spark, tmp_path, make_bars):
         assert stored.read_parquet(spark, store).count() == total
 
 
+def test_ingest_writes_rejects(spark, tmp_path, make_bars, landed):
+    landing, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    landed.write.json(landing)
+    flows.ingest(spark, landing, store)
+    responses = spark.read.json(f"{store}_rejects/responses").count()
+    assert responses + flatten_payloads(landed).select("ticker").distinct().count() + 1 == landed.count()
+
+
 @pytest.mark.parametrize("cap_bytes", [0, 1, 50, 5000, 10**9])
 def test_within_budget_equals_brute_force(spark, cap_bytes):
     sizes = [(f"f{i:04d}", (i * 37) % 11) for i in range(500)]

@@ -3,10 +3,11 @@ import datetime as dt
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from barloom.operators.append import newer_than_stored
+from barloom.operators.append import newer_than_latest, newer_than_stored
+from barloom.schema import LANDED
 from barloom.sources.payloads import pack_payloads
 from barloom.sources.tables import order_bars, table
-from barloom.streaming.append import append_stream, stored_bars
+from barloom.streaming.append import append_batch, append_stream, read_latest, stored_bars
 from barloom.streaming.slices import distinct_late_rows, weekly_slices
 
 
@@ -30,12 +31,38 @@ def test_stream_equals_batch_and_repeats_add_nothing(spark, tmp_path):
     assert run(spark, tmp_path).count() == expected.count()
 
 
-def test_batch_run_again_gives_the_same_rows(spark, tmp_path, make_bars):
-    """A lost progress record makes the first batch run twice."""
-    pack_payloads(make_bars([1.0, 2.0, 3.0])).write.json(f"{tmp_path}/landing")
-    run(spark, tmp_path)
-    append_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/store", f"{tmp_path}/other").awaitTermination()
-    assert sorted(r.close for r in stored_bars(spark, f"{tmp_path}/store").collect()) == [1.0, 2.0, 3.0]
+def test_lost_checkpoint_adds_nothing(spark, tmp_path, make_bars):
+    """Two runs with two batches, then a stream that starts anew."""
+    for n in (3, 5):
+        pack_payloads(make_bars([float(i) for i in range(n)])).write.mode("append").json(f"{tmp_path}/landing")
+        run(spark, tmp_path, files=1)
+    for progress in ("other", "third"):
+        append_stream(spark, f"{tmp_path}/landing", f"{tmp_path}/store", f"{tmp_path}/{progress}", 1).awaitTermination()
+        kept = stored_bars(spark, f"{tmp_path}/store").collect()
+        assert sorted(r.close for r in kept) == [0.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_a_batch_run_again_overwrites_itself(spark, tmp_path, make_bars):
+    bars = make_bars([1.0, 2.0, 3.0])
+    for _ in range(2):
+        fresh = newer_than_latest(bars, read_latest(spark, f"{tmp_path}/store", "r", 4))
+        append_batch(fresh, f"{tmp_path}/store", "run=r/batch=4")
+    assert stored_bars(spark, f"{tmp_path}/store").count() == 3
+
+
+def test_append_does_not_scan_the_store(spark, tmp_path, make_bars):
+    append_batch(make_bars([1.0]), f"{tmp_path}/store", "run=r/batch=0")
+    files = newer_than_latest(make_bars([1.0, 2.0]), read_latest(spark, f"{tmp_path}/store")).inputFiles()
+    assert files and all("/store_latest/" in f for f in files)
+
+
+def test_stream_writes_rejects(spark, tmp_path, make_bars):
+    good = pack_payloads(make_bars([1.0]))
+    bad = spark.createDataFrame([(200, "none"), (200, '{"ticker":"A","data":[{"open":1}]}')], LANDED)
+    good.union(bad).write.json(f"{tmp_path}/landing")
+    assert run(spark, tmp_path).count() == 1
+    rejects = f"{tmp_path}/store_rejects/*/*"
+    assert spark.read.json(f"{rejects}/responses").count() == 1 and spark.read.json(f"{rejects}/elements").count() == 1
 
 
 def test_weekly_slices_start_on_saturday(spark):
