@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.functions.numbers import finite
 from barloom.operators.series import attach, per_series, with_segment
 
 KEYS = ["ticker"]
 DAY = "trading_date"
 SLOTS = 64
+#: The summary's ranks are off by a part of 1/ACCURACY at most; with the place between two ranks, MARGIN covers that
+#: in series of more than WHOLE rows. Shorter ones are ordered whole.
+ACCURACY, MARGIN, WHOLE = 10_000, 0.001, 4096
 
 
 def _bin(value: str, lo: str, hi: str, bins: int) -> Column:
@@ -26,7 +30,8 @@ def histogram(df: DataFrame, value: str, bins: int = 10, view: tuple[float, floa
     Every bin has a row, empty ones too. A series with a single value gets a range
     of one around it. ``view`` marks the bins that overlap the displayed interval.
     """
-    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), KEYS, DAY)
+    rows = df.select(*KEYS, DAY, finite(value).alias(value)).where(F.col(value).isNotNull())
+    rows = with_segment(rows, KEYS, DAY)
     half = F.when(F.col("_min") == F.col("_max"), F.lit(0.5)).otherwise(F.lit(0.0))
     limits = (
         per_series(rows, KEYS, F.min(value).alias("_min"), F.max(value).alias("_max"))
@@ -63,7 +68,8 @@ def histogram(df: DataFrame, value: str, bins: int = 10, view: tuple[float, floa
 
 def _value_counts(df: DataFrame, value: str) -> DataFrame:
     """Each distinct value of a series with its number of rows, dealt out to slots."""
-    counted = df.where(F.col(value).isNotNull() & F.col("ticker").isNotNull()).groupBy(*KEYS, F.col(value).alias("_x"))
+    given = df.select(*KEYS, finite(value).alias("_x")).where(F.col("_x").isNotNull() & F.col("ticker").isNotNull())
+    counted = given.groupBy(*KEYS, "_x")
     return counted.agg(F.count(F.lit(1)).alias("_c")).withColumn(
         "_slot", F.pmod(F.xxhash64("_x"), F.lit(SLOTS)).cast("int")
     )
@@ -75,52 +81,56 @@ def _for_slots(values: DataFrame, stats: DataFrame) -> DataFrame:
     return values.join(copies, [*KEYS, "_slot"], "left")
 
 
-def quantiles(df: DataFrame, value: str, probabilities: Sequence[float], bins: int = 4096) -> DataFrame:
+def _brackets(df: DataFrame, value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Of each series its rows ``_n`` and, for every quantile, two of its values that hold it between them."""
+    asked = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-MARGIN, MARGIN)]
+    given = df.select(*KEYS, finite(value).alias("_x")).where(F.col("_x").isNotNull() & F.col("ticker").isNotNull())
+    near = F.percentile_approx("_x", asked, ACCURACY)
+    limits = given.groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_min"), F.max("_x").alias("_max"), near.alias("_near")
+    )
+    few = F.col("_n") <= WHOLE
+    pairs = [
+        F.struct(
+            F.lit(i).alias("i"),
+            F.when(few, F.col("_min")).otherwise(F.get("_near", F.lit(2 * i))).alias("lo"),
+            F.when(few, F.col("_max")).otherwise(F.get("_near", F.lit(2 * i + 1))).alias("hi"),
+        )
+        for i in range(len(probabilities))
+    ]
+    return limits.select(*KEYS, "_n", F.array(*pairs).alias("_brackets"))
+
+
+def _inside(placed: DataFrame) -> DataFrame:
+    """The values that lie in a bracket, once for each: all that is ever ordered."""
+    held = F.filter("_brackets", lambda b: (F.col("_x") >= b["lo"]) & (F.col("_x") <= b["hi"]))
+    return placed.select(*KEYS, "_x", "_c", "_n", F.explode(F.transform(held, lambda b: b["i"])).alias("_i"))
+
+
+def quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles of each series by linear interpolation between order statistics.
 
-    Equal values are counted first; bin counts then tell which bins hold the
-    wanted ranks, and only the values of those bins are ordered. Gives
-    ``n, q0, q1, ...`` per series.
+    A summary of each series, combined map-side, brackets every quantile between two of its values; the
+    ranks below a bracket are counted, and only the distinct values inside it are ordered: about
+    one in 500 of a long series, however its values lie. Gives ``n, q0, q1, ...`` per series.
     """
-    values = _value_counts(df, value)
-    limits = values.groupBy(*KEYS).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("_n"))
-    flat = F.col("_lo") == F.col("_hi")
-    binned = _for_slots(values, limits).withColumn(
-        "_bin", F.when(flat, F.lit(0)).otherwise(_bin("_x", "_lo", "_hi", bins))
-    )
+    placed = _for_slots(_value_counts(df, value), _brackets(df, value, probabilities))
+    x, which = F.col("_x"), range(len(probabilities))
+    under = [F.when(x < F.get("_brackets", F.lit(i))["lo"], F.col("_c")).otherwise(F.lit(0)) for i in which]
+    lower = placed.groupBy(*KEYS).agg(F.array(*[F.sum(u) for u in under]).alias("_below"))
+    upto = Window.partitionBy(*KEYS, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = _inside(placed).withColumn("_end", F.sum("_c").over(upto)).join(lower, KEYS)
+    ranked = ranked.withColumn("_end", F.col("_end") + F.get("_below", F.col("_i")))
+    ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
     places = [(F.col("_n") - 1) * F.lit(float(p)) for p in probabilities]
-    ranks = F.array(
-        *[
-            F.struct(F.lit(f"{side}{i}").alias("name"), edge(place).alias("rank"))
-            for i, place in enumerate(places)
-            for side, edge in (("low", F.floor), ("high", F.ceil))
-        ]
-    )
 
-    def held(rank: Column) -> Column:
-        return (rank["rank"] >= F.col("_start")) & (rank["rank"] < F.col("_end"))
-
-    upto = Window.partitionBy(*KEYS).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    targets = (
-        binned.groupBy(*KEYS, "_bin")
-        .agg(F.sum("_c").alias("_c"), F.max("_n").alias("_n"))
-        .withColumn("_end", F.sum("_c").over(upto))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .withColumn("_ranks", F.filter(ranks, held))
-        .where(F.size("_ranks") > 0)
-        .select(*KEYS, "_bin", F.col("_start").alias("_before"), "_ranks")
-    )
-    in_bin = Window.partitionBy(*KEYS, "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        binned.select(*KEYS, "_bin", "_x", "_c", "_n")
-        .join(targets, [*KEYS, "_bin"])
-        .withColumn("_end", F.col("_before") + F.sum("_c").over(in_bin))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .select(*KEYS, "_x", "_n", F.inline(F.filter("_ranks", held)))
-    )
-    names = [f"{side}{i}" for i in range(len(places)) for side in ("low", "high")]
-    picked = found.groupBy(*KEYS).agg(
-        F.max("_n").alias("_n"), *[F.max(F.when(F.col("name") == name, F.col("_x"))).alias(name) for name in names]
+    def at(i: int, rank: Column) -> Column:
+        return F.max(F.when((F.col("_i") == i) & (rank >= F.col("_start")) & (rank < F.col("_end")), x))
+
+    picked = ranked.groupBy(*KEYS).agg(
+        F.max("_n").alias("_n"),
+        *[at(i, F.floor(place)).alias(f"low{i}") for i, place in enumerate(places)],
+        *[at(i, F.ceil(place)).alias(f"high{i}") for i, place in enumerate(places)],
     )
     return picked.select(
         *KEYS,
@@ -161,7 +171,8 @@ def box_stats(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
 
 def box_outliers(df: DataFrame, value: str, whisker: float = 1.5) -> DataFrame:
     """The rows beyond the whiskers, with the side they are on."""
-    rows = with_segment(df.where(F.col(value).isNotNull()).select(*KEYS, DAY, value), KEYS, DAY)
+    rows = df.select(*KEYS, DAY, finite(value).alias(value)).where(F.col(value).isNotNull())
+    rows = with_segment(rows, KEYS, DAY)
     fences = per_series(rows, KEYS).join(_fences(df, value, whisker), KEYS)
     side = F.when(F.col(value) < F.col("_low_fence"), F.lit("low")).when(
         F.col(value) > F.col("_high_fence"), F.lit("high")

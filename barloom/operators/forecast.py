@@ -38,7 +38,7 @@ def forecast_baseline(
 ) -> DataFrame:
     """Straight trend times weekday factor, with a normal interval of the residuals.
 
-    ``horizon`` is a number of days or a table with a ``horizon`` per series. The
+    ``horizon`` is a number of days or a table with a ``horizon`` per series (0 for one that is not in it). The
     series is read twice: once for the line, once for sums by weekday, from which
     both the factors and the spread of the residuals follow. History and horizon
     are then generated from one row per series.
@@ -54,29 +54,27 @@ def forecast_baseline(
         F.regr_intercept(F.col("y"), day_number).alias("_level"),
     )
     line = ["_start", "_stop", "_slope", "_level"]
-    y, g = F.col("y"), F.col("_level") + F.col("_slope") * day_number
-    by_weekday = (
-        attach(rows, lines, keys)
-        .withColumn("_g", g)
-        .groupBy(*keys, F.dayofweek("ds").alias("_weekday"))
-        .agg(
-            F.avg(F.try_divide(y, F.col("_g"))).alias("_factor"),
-            F.count("y").alias("_n"),
-            F.sum("y").alias("_y"),
-            F.sum("_g").alias("_gs"),
-            F.sum(y * y).alias("_yy"),
-            F.sum(y * F.col("_g")).alias("_yg"),
-            F.sum(F.col("_g") * F.col("_g")).alias("_gg"),
-            *[F.max(c).alias(c) for c in line],
-        )
+    g = F.col("_level") + F.col("_slope") * day_number
+    e = F.col("y") - F.col("_g")
+    known = attach(rows, lines, keys).withColumn("_g", F.when(F.col("y").isNotNull(), g))
+    by_weekday = known.groupBy(*keys, F.dayofweek("ds").alias("_weekday")).agg(
+        F.avg(F.try_divide(F.col("y"), F.col("_g"))).alias("_factor"),
+        F.count("y").alias("_n"),
+        F.sum(e).alias("_e"),
+        F.sum("_g").alias("_gs"),
+        F.sum(e * e).alias("_ee"),
+        F.sum(e * F.col("_g")).alias("_eg"),
+        F.sum(F.col("_g") * F.col("_g")).alias("_gg"),
+        *[F.max(c).alias(c) for c in line],
     )
-    f = F.col("_factor")
-    squares = F.col("_yy") - 2 * f * F.col("_yg") + f * f * F.col("_gg")
+    # The residual y - f * g is e - h * g with h = f - 1: sums of e do not cancel when the level is large.
+    h = F.col("_factor") - 1
+    squares = F.col("_ee") - 2 * h * F.col("_eg") + h * h * F.col("_gg")
     # Seven rows per series.
     fitted = by_weekday.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("_weekday", "_factor"))).alias("_factors"),
         F.sum("_n").alias("_n"),
-        F.sum(F.col("_y") - f * F.col("_gs")).alias("_r"),
+        F.sum(F.col("_e") - h * F.col("_gs")).alias("_r"),
         F.sum(squares).alias("_rr"),
         *[F.max(c).alias(c) for c in line],
     )
@@ -84,7 +82,7 @@ def forecast_baseline(
     sigma = F.sqrt(F.greatest(variance, F.lit(0.0)))
     models = fitted.withColumn("_sigma", sigma)
     if isinstance(horizon, DataFrame):
-        models = models.join(horizon.select(*keys, "horizon"), list(keys))
+        models = models.join(horizon.select(*keys, "horizon"), list(keys), "left").fillna(0, ["horizon"])
     else:
         models = models.withColumn("horizon", F.lit(horizon))
     last = F.date_add("_stop", F.col("horizon").cast("int"))

@@ -16,16 +16,21 @@ def universe(bars: DataFrame) -> DataFrame:
     return bars.select("ticker").distinct()
 
 
-def _ranges(df: DataFrame, key: str, ranges: int, sample: int) -> DataFrame:
+#: Sampled keys for each range, and ranges at most: what the driver sees is bounded, the ranges are balanced.
+SAMPLED = 64
+MOST_RANGES = 2048
+
+
+def _ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
     """Add ``_range``, the key's range number; ranges follow the key order and are about equally full.
 
-    The borders come from the ``sample`` rows with the smallest key hashes: the
-    same ones in every run, and the only rows the driver sees. They balance the
-    ranges and have no effect on results.
+    The borders come from the rows with the smallest key hashes, ``SAMPLED`` for each
+    range: the same ones in every run, and the only rows the driver sees. They balance
+    the ranges and have no effect on results.
     """
-    hashed = df.select(key, F.xxhash64(key).alias("_h")).orderBy("_h", key).limit(sample)
+    hashed = df.select(key, F.xxhash64(key).alias("_h")).orderBy("_h", key).limit(SAMPLED * ranges)
     seen = sorted({row[key] for row in hashed.collect() if row[key] is not None})
-    borders = seen[:: max(1, len(seen) // ranges)][1:]
+    borders = seen[:: max(1, -(-len(seen) // ranges))][1:]
 
     def number(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -36,19 +41,21 @@ def _ranges(df: DataFrame, key: str, ranges: int, sample: int) -> DataFrame:
     return df.withColumn("_range", number(0, len(borders)))
 
 
-def with_running(
-    df: DataFrame, key: str, measure: Column, name: str, ranges: int = 32, sample: int = 4096
-) -> DataFrame:
+def with_running(df: DataFrame, key: str, measure: Column, name: str, upto: int | None = None) -> DataFrame:
     """Add the running total of a measure over all rows in the order of a unique key.
 
     Totals of key ranges first, then running totals inside each range: at no
-    point does one task order the whole table.
+    point does one task order the whole table. There are as many ranges as shuffle
+    partitions. ``upto`` leaves out ranges whose earlier ranges exceed it, before they are ordered.
     """
-    rows = _ranges(df.withColumn("_measure", measure), key, ranges, sample)
+    ranges = min(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MOST_RANGES)
+    rows = _ranges(df.withColumn("_measure", measure), key, ranges)
     totals = rows.groupBy("_range").agg(F.sum("_measure").alias("_total"))
-    # At most a few dozen rows: this window has one partition by design.
+    # One row per range: this window has one partition by design.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    if upto is not None:
+        offsets = offsets.where(F.col("_before") <= upto)
     inside = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     return (
         rows.join(F.broadcast(offsets), "_range")
@@ -70,8 +77,8 @@ def kth_ticker(tickers: DataFrame, k: int, key: str = "ticker") -> DataFrame:
 
 def within_budget(files: DataFrame, key: str, size: str, megabytes: float) -> DataFrame:
     """Rows taken in key order until their total size exceeds the budget; the one that crosses it is kept."""
-    running = with_running(files, key, F.col(size).cast("bigint"), "_upto")
     cap = int(megabytes * 1024 * 1024)
+    running = with_running(files, key, F.col(size).cast("bigint"), "_upto", upto=cap)
     return (
         running.where(F.col("_upto") - F.col(size) <= cap)
         .withColumn("running_mb", F.col("_upto") / 1024 / 1024)

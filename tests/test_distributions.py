@@ -38,11 +38,10 @@ def test_histogram_ends_flat_series_and_view(make_bars):
     assert [r.bin for r in shown.where("in_view").orderBy("bin").collect()] == [2, 3]
 
 
-@pytest.mark.parametrize("bins", [4096, 3])
-def test_quantiles_equal_numpy(ranged, bins):
+def test_quantiles_equal_numpy(ranged):
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     values = by_ticker(ranged, "price_diff")
-    out = distributions.quantiles(ranged, "price_diff", probabilities, bins).collect()
+    out = distributions.quantiles(ranged, "price_diff", probabilities).collect()
     assert len(out) == len(values)
     for row in out:
         x = values[row.ticker]
@@ -50,6 +49,27 @@ def test_quantiles_equal_numpy(ranged, bins):
         np.testing.assert_allclose([row[f"q{i}"] for i in range(7)], np.quantile(x, probabilities), rtol=1e-12)
 
 
+def test_quantiles_of_a_long_series_with_a_far_value(spark):
+    """However far one value lies from the others, few of them are ordered."""
+    rng = np.random.default_rng(5)
+    for x in (np.append(rng.random(60_000), 1e9), rng.integers(0, 50, 20_000).astype(float), rng.lognormal(0, 4, 20_000)):
+        frame = spark.createDataFrame([("A", float(v)) for v in x], "ticker string, v double")
+        row = distributions.quantiles(frame, "v", [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]).first()
+        np.testing.assert_allclose([row[f"q{i}"] for i in range(6)], np.quantile(x, [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]), rtol=1e-12)
+        brackets = distributions._brackets(frame, "v", [0.25, 0.5, 0.75])
+        inside = distributions._inside(distributions._for_slots(distributions._value_counts(frame, "v"), brackets))
+        assert max(r["count"] for r in inside.groupBy("_i").count().collect()) <= 0.004 * len(x)
+
+
+def test_numbers_that_are_none(make_bars):
+    nan, inf = float("nan"), float("inf")
+    given = make_bars([1.0, nan, 2.0, inf, 3.0, -inf, None])
+    bins = distributions.histogram(given, "close").collect()
+    assert sum(r["count"] for r in bins) == 3 and {r.left_edge for r in bins if r.bin == 0} == {1.0}
+    row = distributions.box_stats(given, "close").first()
+    assert (row.n, row.median, row.whisker_low, row.whisker_high) == (3, 2.0, 1.0, 3.0)
+
+
 def test_quartiles_hand_made(make_bars):
     row = distributions.quantiles(make_bars([1.0, 10.0, 3.0, 2.0]), "close", [0.25, 0.5, 0.75]).first()
     assert (row.q0, row.q1, row.q2) == (1.75, 2.5, 4.75)

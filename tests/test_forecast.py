@@ -85,3 +85,22 @@ def test_charts_are_all_there(spark, tmp_path):
     for name in flows.charts(bars):
         assert spark.read.parquet(f"{tmp_path}/{name}").columns
     assert flows.forecast(bars, "baseline").select("attr").distinct().count() == 5
+
+
+def test_baseline_spread_at_a_high_level(spark):
+    rng = np.random.default_rng(6)
+    noise = rng.normal(0, 0.5, 700)
+    start = dt.date(2020, 1, 6)
+    rows = [("A", "close", start + dt.timedelta(days=i), 1e9 + float(noise[i])) for i in range(700)]
+    series = spark.createDataFrame(rows, "ticker string, attr string, ds date, y double")
+    row = forecast_baseline(series).where("ds = date '2020-03-02'").first()
+    spread = (row.yhat_upper - row.yhat_lower) / 2 / 1.645
+    assert abs(spread / noise.std() - 1) < 0.03
+
+
+def test_baseline_keeps_series_without_a_horizon(spark):
+    rows = [(t, "close", dt.date(2020, 1, 1) + dt.timedelta(days=i), 5.0 + i) for t in "AB" for i in range(30)]
+    series = spark.createDataFrame(rows, "ticker string, attr string, ds date, y double")
+    horizon = spark.createDataFrame([("A", "close", 3)], "ticker string, attr string, horizon int")
+    counts = {r.ticker: r["count"] for r in forecast_baseline(series, horizon=horizon).groupBy("ticker").count().collect()}
+    assert counts == {"A": 33, "B": 30}

@@ -195,14 +195,21 @@ def test_within_budget_equals_brute_force(spark, cap_bytes):
     assert sorted(r.path for r in out.collect()) == expected
 
 
-def test_running_total_with_few_borders(spark):
+def test_running_total_with_few_borders(spark, monkeypatch):
     rows = spark.createDataFrame([(i, 1) for i in range(300)], "id bigint, n bigint")
     from pyspark.sql import functions as F
 
-    out = listing.with_running(rows, "id", F.col("n"), "upto", ranges=4, sample=6)
+    monkeypatch.setattr(listing, "SAMPLED", 1)
+    out = listing.with_running(rows, "id", F.col("n"), "upto")
     assert [r.upto for r in out.orderBy("id").collect()] == list(range(1, 301))
 
 
+def test_ranges_follow_the_shuffle_partitions(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "k")
+    sizes = [r["count"] for r in listing._ranges(rows, "k", 50).groupBy("_range").count().collect()]
+    assert 45 <= len(sizes) <= 50 and max(sizes) < 4 * 20_000 / 50
+
+
 def test_stripes_and_kth(spark):
     tickers = [f"T{i:03d}" for i in range(50)]
     frame = spark.createDataFrame([(t,) for t in tickers[::-1]], "ticker string")
