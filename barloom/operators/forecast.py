@@ -28,20 +28,21 @@ YEARLY = (365.25, 10)
 WEEKLY = (7.0, 3)
 ROUNDS = 4
 CHUNK_ROWS = 4096
+_EMPTY = {T.LongType: "int64", T.DoubleType: "float64", T.BooleanType: "bool"}
 
 # Tasks get this module's functions with the job, whether or not the package is installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def forecast_baseline(
-    series: DataFrame, keys: Sequence[str] = ("ticker", "attr"), horizon: int | DataFrame = HORIZON_DAYS
+    series: DataFrame, keys: Sequence[str] = ("ticker", "attr"), horizon: int | DataFrame = HORIZON_DAYS, ahead: bool = False
 ) -> DataFrame:
     """Straight trend times weekday factor, with a normal interval of the residuals.
 
     ``horizon`` is a number of days or a table with a ``horizon`` per series (0 for one that is not in it). The
     series is read twice: once for the line, once for sums by weekday, from which
     both the factors and the spread of the residuals follow. History and horizon
-    are then generated from one row per series.
+    are then generated from one row per series. ``ahead`` adds whether a day is past the history.
     """
     rows = with_segment(series.select(*keys, "ds", "y"), keys, "ds")
     day_number = F.unix_date("ds").cast("double")
@@ -94,6 +95,7 @@ def forecast_baseline(
         "yhat",
         (F.col("yhat") - INTERVAL_Z * F.col("_sigma")).alias("yhat_lower"),
         (F.col("yhat") + INTERVAL_Z * F.col("_sigma")).alias("yhat_upper"),
+        *([(F.col("ds") > F.col("_stop")).alias("ahead")] if ahead else []),
     )
 
 
@@ -121,15 +123,16 @@ def _apply(features, n: int, weights: np.ndarray) -> np.ndarray:
     return np.concatenate([features(slice(lo, lo + CHUNK_ROWS)) @ weights for lo in range(0, n, CHUNK_ROWS)])
 
 
-def fit_and_predict(day: np.ndarray, y: np.ndarray, horizon: int) -> pd.DataFrame:
+def fit_and_predict(
+    day: np.ndarray, y: np.ndarray, horizon: int, change_points: int = CHANGE_POINTS, seasons: Sequence[tuple[float, int]] = (WEEKLY, YEARLY)
+) -> pd.DataFrame:
     """Fit one series given as day numbers and values; returns history and horizon."""
     span = max(float(day[-1] - day[0]), 1.0)
     scale = float(np.max(np.abs(y))) or 1.0
     all_days = np.concatenate([day, day[-1] + np.arange(1, horizon + 1)])
     n, t, z = len(day), (all_days - day[0]) / span, y / scale
-    inner = max(min(CHANGE_POINTS, int(n * CHANGE_POINT_RANGE) - 1), 0)
+    inner = change_points
     knots = np.linspace(0.0, CHANGE_POINT_RANGE, inner + 1)[1:]
-    seasons = ([WEEKLY] if span >= 14 else []) + ([YEARLY] if span >= 2 * 365 else [])
 
     def trend_rows(part: slice) -> np.ndarray:
         return _hinges(t[part], knots)
@@ -166,38 +169,69 @@ def fit_and_predict(day: np.ndarray, y: np.ndarray, horizon: int) -> pd.DataFram
 
 
 def forecast_additive(
-    series: DataFrame, keys: Sequence[str] = ("ticker", "attr"), horizon: int = HORIZON_DAYS
+    series: DataFrame,
+    keys: Sequence[str] = ("ticker", "attr"),
+    horizon: int | DataFrame = HORIZON_DAYS,
+    ahead: bool = False,
+    change_points: int = CHANGE_POINTS,
+    weekly: bool = True,
+    yearly: bool = True,
 ) -> DataFrame:
     """Piecewise-linear trend with weekly and yearly seasons in proportion to it, and a 90 % interval.
 
     After the decomposable model of Taylor and Letham (2018), fitted by
     alternating penalised least squares instead of sampling, so its numbers are
-    not those of that paper's own software. One task fits one series, which
-    holds one number per calendar day; feature rows are made in chunks.
+    not those of that paper's own software. Every series has the same change points and seasons; their
+    penalties shrink what a short one does not support. One task fits one series, which
+    holds one number per calendar day; feature rows are made in chunks. ``horizon`` and ``ahead`` as
+    in the baseline.
     """
     keys = list(keys)
+    seasons = ([WEEKLY] if weekly else []) + ([YEARLY] if yearly else [])
     schema = T.StructType(
         [f for f in series.schema.fields if f.name in keys]
         + [T.StructField("_day", T.LongType())]
         + [T.StructField(c, T.DoubleType()) for c in ("yhat", "yhat_lower", "yhat_upper")]
+        + [T.StructField("ahead", T.BooleanType())]
     )
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit(pdf: pd.DataFrame, days: int) -> pd.DataFrame:
         pdf = pdf.sort_values("_day")
-        out = fit_and_predict(pdf["_day"].to_numpy(float), pdf["y"].to_numpy(float), horizon)
+        out = fit_and_predict(pdf["_day"].to_numpy(float), pdf["y"].to_numpy(float), days, change_points, seasons)
         for key in keys:
             out[key] = pdf[key].iloc[0]
+        out["ahead"] = out["_day"] > pdf["_day"].iloc[-1]
         return out
 
+    def fit_beside(pdf: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame({f.name: pd.Series(dtype=_EMPTY.get(type(f.dataType), "object")) for f in schema.fields})
+        return fit(pdf, int(wanted["horizon"].max()) if len(wanted) else 0)
+
     numbered = series.where(F.col("y").isNotNull()).select(*keys, F.unix_date("ds").alias("_day"), "y")
-    predicted = numbered.groupBy(*keys).applyInPandas(fit, schema)
+    grouped = numbered.groupBy(*keys)
+    if isinstance(horizon, DataFrame):
+        # Other names: both sides may come from the same table.
+        wanted = horizon.select(*[F.col(k).alias(f"_{k}") for k in keys], "horizon").groupBy(*[f"_{k}" for k in keys])
+        predicted = grouped.cogroup(wanted).applyInPandas(fit_beside, schema)
+    else:
+        predicted = grouped.applyInPandas(lambda pdf: fit(pdf, horizon), schema)
     return predicted.withColumn("ds", F.date_from_unix_date(F.col("_day").cast("int"))).select(
-        *keys, "ds", "yhat", "yhat_lower", "yhat_upper"
+        *keys, "ds", "yhat", "yhat_lower", "yhat_upper", *(["ahead"] if ahead else [])
     )
 
 
-def beside_actual(forecast: DataFrame, actual: DataFrame, keys: Sequence[str] = ("ticker", "attr")) -> DataFrame:
-    """Forecast and known values side by side; days known to one side only are kept."""
+def beside_actual(
+    forecast: DataFrame,
+    actual: DataFrame,
+    keys: Sequence[str] = ("ticker", "attr"),
+    how: str = "full_outer",
+    extra: Sequence[str] = (),
+) -> DataFrame:
+    """Forecast and known values side by side; days known to one side only are kept.
+
+    With ``how="left"`` only the forecast's days are, for a forecast that has all of them. ``extra`` columns of the forecast stay.
+    """
     inside = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
-    joined = forecast.join(actual.select(*keys, "ds", "y"), [*keys, "ds"], "full_outer")
-    return joined.select(*keys, "ds", "y", "yhat", "yhat_lower", "yhat_upper", inside.alias("in_interval"))
+    joined = forecast.join(actual.select(*keys, "ds", "y"), [*keys, "ds"], how)
+    return joined.select(*keys, "ds", "y", "yhat", "yhat_lower", "yhat_upper", inside.alias("in_interval"), *extra)

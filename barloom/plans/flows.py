@@ -14,7 +14,9 @@ from barloom.operators.clean import bounds, deduplicate, interpolate, to_long
 from barloom.operators.forecast import HORIZON_DAYS, beside_actual, forecast_additive, forecast_baseline
 from barloom.operators.series import attach, per_series, with_segment
 from barloom.schema import ATTRIBUTES, LANDED
+from barloom.session import shared_folder
 from barloom.sources.payloads import flatten_payloads, write_rejects
+from barloom.sources.stored import append_bars, read_parquet
 from barloom.streaming.append import append_batch, read_latest
 
 MODELS = {"baseline": forecast_baseline, "additive": forecast_additive}
@@ -43,12 +45,12 @@ def forecast(bars: DataFrame, model: str = "additive", horizon: int = HORIZON_DA
     return MODELS[model](regular_series(deduplicate(bars)), horizon=horizon)
 
 
-def validate(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
+def validate(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES, model: str = "baseline") -> DataFrame:
     """Fit on the first four fifths of each calendar, predict the rest, set both beside the known values.
 
     Bars must be unique by ticker and day. Every day between the first and the
     last bar has a row; the cut follows from these two days alone, so the
-    calendar itself is not built before the forecast.
+    calendar itself is not built before the forecast, and the forecast has all of it.
     """
     keys = ["ticker"]
     placed = with_segment(bars, keys, "trading_date")
@@ -67,18 +69,18 @@ def validate(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFra
         F.explode(F.array(*[F.lit(a) for a in attributes])).alias("attr"),
         (F.col("_days") - F.col("_train")).alias("horizon"),
     )
-    both = beside_actual(forecast_baseline(train, horizon=horizon), to_long(bars, attributes))
-    cuts = spans.select("ticker", "_first_segment", "_last_segment", "_cut")
-    part = F.when(F.col("ds") <= F.col("_cut"), F.lit("train")).otherwise(F.lit("valid"))
-    labelled = attach(with_segment(both, keys, "ds"), cuts, keys).withColumn("part", part)
-    return labelled.select(*both.columns, "part")
+    predicted = MODELS[model](train, horizon=horizon, ahead=True)
+    part = F.when(F.col("ahead"), F.lit("valid")).otherwise(F.lit("train")).alias("part")
+    both = beside_actual(predicted, to_long(bars, attributes), how="left", extra=["ahead"])
+    return both.select(*[c for c in both.columns if c != "ahead"], part)
 
 
-def charts(bars: DataFrame) -> dict[str, DataFrame]:
+def charts(bars: DataFrame, deduplicated: bool = False) -> dict[str, DataFrame]:
     """One result table per chart."""
-    clean = deduplicate(bars)
+    clean = bars if deduplicated else deduplicate(bars)
     ranged = select.price_range(clean)
     with_returns = indicators.returns(clean)
+    # The names of the charts.
     return {
         "price_diff_hist": distributions.histogram(ranged, "price_diff"),
         "price_diff_boxplot": distributions.box_stats(ranged, "price_diff"),
@@ -96,5 +98,9 @@ def charts(bars: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_charts(bars: DataFrame, folder: str) -> None:
-    for name, frame in charts(bars).items():
+    """One dataset per chart; the deduplicated bars are written once, to the shared folder, and read by all."""
+    spark = bars.sparkSession
+    clean = shared_folder(spark, "chart-bars")
+    append_bars(deduplicate(bars), clean)
+    for name, frame in charts(read_parquet(spark, clean), deduplicated=True).items():
         frame.write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -312,6 +312,20 @@ spine as (select ticker, cast(unnest(generate_series(lo, hi, interval 1 day)) as
 select s.ticker, s.trading_date, coalesce(open, 0) as open, close, coalesce(volume, 0) as volume
 from spine s left join bars b on b.ticker = s.ticker and b.trading_date = s.trading_date""",
     "forecast_baseline": f"{BASELINE} select ticker, attr, ds, {FC_COLUMNS} from fc",
+    "additive_line": f"""
+with {ORDER_BARS}, {LONG}, {_regular('long', 'reg')},
+size as (select ticker, attr, min(ds) as lo, max(ds) as hi, greatest(date_diff('day', min(ds), max(ds)), 1) as span,
+                case when max(abs(y)) > 0 then max(abs(y)) else 1 end as scale from reg group by 1, 2),
+unit as (select ticker, attr, date_diff('day', lo, ds) / span as t, y / scale as z from reg join size using (ticker, attr)),
+sums as (select ticker, attr, sum(t) as st, sum(z) as sz, sum(t * z) as stz,
+                count(*) + pow(greatest(stddev_pop(z), 1e-6), 2) * 0.05 / 25 as a,
+                sum(t * t) + pow(greatest(stddev_pop(z), 1e-6), 2) * 0.05 / 25 as c from unit group by 1, 2),
+line as (select ticker, attr, (sz * c - stz * st) / (a * c - st * st) as w0, (a * stz - st * sz) / (a * c - st * st) as w1 from sums),
+err as (select ticker, attr, 1.645 * sqrt(avg(pow(z - w0 - w1 * t, 2))) as half from unit join line using (ticker, attr) group by 1, 2),
+days as (select *, cast(unnest(generate_series(lo, hi + 56, interval 1 day)) as date) as ds from size),
+fc as (select ticker, attr, ds, (w0 + w1 * date_diff('day', lo, ds) / span) * scale as yhat, half * scale as half
+       from days join line using (ticker, attr) join err using (ticker, attr))
+select ticker, attr, ds, {FC_COLUMNS} from fc""",
     "forecast_vs_actual": f"""{BASELINE}
 select coalesce(fc.ticker, l.ticker) as ticker, coalesce(fc.attr, l.attr) as attr, coalesce(fc.ds, l.ds) as ds,
        y, {FC_COLUMNS}, y between yhat - half and yhat + half as in_interval

@@ -302,6 +302,17 @@ def additive(spark: SparkSession, folder: str) -> DataFrame:
     return forecast_additive(flows.regular_series(order_bars(spark, folder)))
 
 
+def additive_line(spark: SparkSession, folder: str) -> DataFrame:
+    """The additive model without change points and seasons, which is a penalised straight line."""
+    regular = flows.regular_series(order_bars(spark, folder))
+    out = forecast_additive(regular, change_points=0, weekly=False, yearly=False)
+    return rounded(out, 1, "yhat", "yhat_lower", "yhat_upper")
+
+
+def additive_validation(spark: SparkSession, folder: str) -> DataFrame:
+    return flows.validate(order_bars(spark, folder), model="additive")
+
+
 def forecast_vs_actual(spark: SparkSession, folder: str) -> DataFrame:
     bars = order_bars(spark, folder)
     out = beside_actual(forecast_baseline(flows.regular_series(bars)), clean.to_long(bars))
@@ -373,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "fill_missing": fill_missing,
     "forecast_baseline": baseline,
     "forecast_additive": additive,
+    "additive_line": additive_line,
+    "additive_validation": additive_validation,
     "forecast_vs_actual": forecast_vs_actual,
     "forecast_validation": forecast_validation,
     "weekly_slice": weekly_slice,

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from conftest import DATA
 
+from barloom.operators import clean
 from barloom.operators.forecast import beside_actual, fit_and_predict, forecast_additive, forecast_baseline
 from barloom.plans import flows
 from barloom.sources.tables import order_bars
@@ -66,6 +67,14 @@ def test_additive_repeats_itself_and_ignores_row_order(spark):
     assert one.equals(two)
 
 
+def test_additive_horizon_per_series(spark):
+    frame = series(spark, planted(60)).union(series(spark, planted(50), "B")).union(series(spark, planted(40), "C"))
+    horizon = spark.createDataFrame([("A", "close", 5), ("B", "close", 9), ("X", "close", 9)], "ticker string, attr string, horizon int")
+    out = forecast_additive(frame, horizon=horizon, ahead=True)
+    counts = {(r.ticker, r.ahead): r["count"] for r in out.groupBy("ticker", "ahead").count().collect()}
+    assert counts == {("A", False): 60, ("A", True): 5, ("B", False): 50, ("B", True): 9, ("C", False): 40}
+
+
 def test_beside_actual_keeps_both_sides(spark):
     actual = series(spark, planted(60))
     out = beside_actual(forecast_baseline(actual.limit(30)), actual)
@@ -73,8 +82,11 @@ def test_beside_actual_keeps_both_sides(spark):
     assert out.where("y is null").count() == 26
 
 
-def test_validation_marks_every_calendar_day(spark):
-    out = flows.validate(order_bars(spark, DATA), ["close"])
+@pytest.mark.parametrize("model", ["baseline", "additive"])
+def test_validation_marks_every_calendar_day(spark, model):
+    bars = order_bars(spark, DATA)
+    out = flows.validate(bars, ["close"], model)
+    assert out.count() == clean.calendar_spine(bars).count()
     assert out.where("part is null or yhat is null").count() == 0
     assert out.where("part = 'valid' and y is not null and in_interval is null").count() == 0
 

@@ -11,7 +11,7 @@ from barloom.plans.oracle import ORACLE
 from barloom.plans.registry import QUERIES
 
 TABLES = ["orders", "lineitem", "events", "documents"]
-ROWS_ONLY = {"forecast_additive"}
+ROWS_ONLY = {"forecast_additive", "additive_validation"}
 
 
 @pytest.fixture(scope="module")
