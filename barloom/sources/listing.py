@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.dates import epoch_seconds
+from barloom.functions.sampling import least_hashes
 
 # Fixed value: the query part of a request.
 REQUEST = "%s?ticker=%s&type=stock&resolution=D&from=%d&to=%d"
@@ -28,8 +29,8 @@ def _ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
     range: the same ones in every run, and the only rows the driver sees. They balance
     the ranges and have no effect on results.
     """
-    hashed = df.select(key, F.xxhash64(key).alias("_h")).orderBy("_h", key).limit(SAMPLED * ranges)
-    seen = sorted({row[key] for row in hashed.collect() if row[key] is not None})
+    sample = least_hashes(df.select(key), [key], SAMPLED * ranges, df.count())
+    seen = sorted({row[key] for row in sample.collect() if row[key] is not None})
     borders = seen[:: max(1, -(-len(seen) // ranges))][1:]
 
     def number(lo: int, hi: int) -> Column:
