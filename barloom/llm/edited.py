@@ -20,36 +20,34 @@ def beside_edited(docs: DataFrame) -> DataFrame:
     Order and halves are settled on a narrow table; each text is shuffled once by its document, and once
     more the half that the document before needs.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("mark", F.xxhash64("text"))
-    narrow = texts.groupBy("doc_id", "mark").agg(F.min(F.length("text")).alias("n"), F.count(F.lit(1)).alias("copies"))
-    keys = stored(numbered(narrow, [F.col("doc_id").asc_nulls_first(), F.col("mark")], "place"), "document-order")
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select("doc_id", text.alias("text"), F.col("doc_id").isNotNull().alias("named"))
+    texts = texts.select("named", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("mark"), "text")
+    # Without nulls in it, the key of the first shuffle is that of all joins, which then need no other.
+    key = ["named", "id", "mark"]
+    narrow = texts.groupBy(*key).agg(F.min(F.length("text")).alias("n"), F.count(F.lit(1)).alias("copies"))
+    keys = stored(numbered(narrow, [F.col(c) for c in key], "place"), "document-order")
     total = max(keys.count(), 1)
     before = keys.select(
-        F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark"), F.col("n").alias("of_n"),
-        F.pmod(F.col("place") + 1, F.lit(total)).alias("place"),
-    )
-    follows = keys.select(F.col("doc_id").alias("at_id"), F.col("mark").alias("at_mark"), "place").join(before, "place")
+        *[F.col(c).alias(f"of_{c}") for c in (*key, "n")], F.pmod(F.col("place") + 1, F.lit(total)).alias("place")
+    )
+    follows = keys.select(*key, "place").join(before, "place").drop("place")
 
     signed = fingerprints.with_signature(texts, "text")
-    base = signed.groupBy("doc_id", "mark").agg(F.first("text").alias("text"), F.first("signature").alias("signature"))
-    is_next = F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("mark") == F.col("at_mark"))
-    following = base.join(follows, is_next).select(
-        "of_id", "of_mark",
+    base = signed.groupBy(*key).agg(F.first("text").alias("text"), F.first("signature").alias("signature"))
+    following = base.join(follows, key).select(
+        *[F.col(f"of_{c}").alias(c) for c in key],
         F.substring("text", F.lit(1), F.floor(F.col("of_n") / 2).cast("int")).alias("put"),
         F.col("signature").alias("next_signature"),
-    )
-    own = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("mark") == F.col("of_mark"))
+    )
     n = F.length("text")
     head = F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
-    edited = base.join(following, own).select(
-        "doc_id", "mark", n.cast("long").alias("n_chars"), F.concat(head, "put").alias("edited"), "signature", "next_signature"
-    )
-    both = fingerprints.with_signature(edited, "edited", "edited_signature")
-    copies = keys.select(F.col("doc_id").alias("of_id"), F.col("mark").alias("of_mark"), "copies")
-    rows = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return (
-        both.join(copies, own)
-        .select("doc_id", "n_chars", "edited", "signature", "edited_signature", "next_signature", rows.alias("_copy"))
-        .drop("_copy")
+    edited = base.join(following, key).select(
+        *key, n.cast("long").alias("n_chars"), F.concat(head, "put").alias("edited"), "signature", "next_signature"
     )
+    both = fingerprints.with_signature(edited, "edited", "edited_signature")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    rows = both.join(keys.select(*key, "copies"), key).withColumn("doc_id", F.when(F.col("named"), F.col("id")))
+    return rows.select(
+        "doc_id", "n_chars", "edited", "signature", "edited_signature", "next_signature", each
+    ).drop("copy")
