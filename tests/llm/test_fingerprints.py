@@ -1,0 +1,108 @@
+import hashlib
+import random
+import re
+
+import xxhash
+from helpers import ROWS, as_tables, documents
+from pyspark.sql import functions as F
+
+from barloom.llm import fingerprints, queries
+
+TOKEN = re.compile(r"[^\x20\x09-\x0D]{1,8}")
+MASK = 2**64 - 1
+
+
+def spark_hash(*values):
+    """Spark's chained xxhash64 of strings and longs."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else (v & MASK).to_bytes(8, "little"), seed)
+    return seed
+
+
+def brute_signature(text):
+    """Order MinHash by its definition: number the runs, pick the least in each bin, restore their order."""
+    tokens = TOKEN.findall(text or "")
+    runs = [tokens[i : i + 3] for i in range(max(len(tokens) - 2, min(len(tokens), 1)))]
+    seen, bins = {}, {}
+    for place, run in enumerate(runs):
+        value = ((spark_hash(*run) << 24) & MASK) >> 24
+        number = seen[value] = seen.get(value, -1) + 1
+        if number:
+            signed = value - 2**40 if value >= 2**39 else value
+            value = ((xxhash.xxh64_intdigest((number - 1).to_bytes(4, "little"), spark_hash(signed)) << 24) & MASK) >> 24
+        bins.setdefault(value >> 34, []).append((value, place))
+    out = []
+    for b, elements in bins.items():
+        picked = sorted(sorted(elements)[:2], key=lambda e: e[1])
+        longs = [v - 2**40 if v >= 2**39 else v for v, _ in picked]
+        out.append(b << 32 | spark_hash(*longs) & 0xFFFFFFFF)
+    return sorted(out)
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(3)
+    texts = ["", " ", "one", "one two", "a b c", "x " * 50, "ab " * 300 + "ab cd ef", "漢字" * 40, "é" * 9 + " \n\t z"]
+    texts += [" ".join(rng.choice(["the", "of", "and", f"w{rng.randrange(40)}"]) for _ in range(n)) for n in (5, 70, 400, 3000)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    for row in fingerprints.with_signature(frame, "text").collect():
+        assert sorted(row.signature) == brute_signature(row.text)
+
+
+def likeness(a, b):
+    bins = {x >> 32 for x in a} | {x >> 32 for x in b}
+    return len(set(a) & set(b)) / len(bins) if bins else 1.0
+
+
+def test_contract_on_odd_rows(spark, monkeypatch):
+    rows = [*ROWS, (9, "short", None), (10, "x y z " * 30, None), (11, "x y z " * 30, None)]
+    as_tables(monkeypatch, queries, documents=documents(spark, rows))
+    got = queries.op6_fingerprints(spark, "").collect()
+    assert len(got) == len(rows)
+    distinct = {(i is not None, i or 0, t or "") for i, t, _ in rows}
+    mark = {t: xxhash.xxh64_intdigest(t.encode(), 42) for _, _, t in distinct}
+    signed = {t: m - 2**64 if m >= 2**63 else m for t, m in mark.items()}
+    order = sorted(distinct, key=lambda d: (d[0], d[1], signed[d[2]]))
+    expected = []
+    for k, (named, i, text) in enumerate(order):
+        following = order[(k + 1) % len(order)][2]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        row = (
+            i if named else None,
+            len(text),
+            hashlib.sha256(edited.encode()).hexdigest(),
+            round(likeness(brute_signature(text), brute_signature(edited)), 9),
+            round(likeness(brute_signature(text), brute_signature(following)), 9),
+        )
+        expected += [row] * sum((j is not None, j or 0, t or "") == (named, i, text) for j, t, _ in rows)
+    made = [(r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)) for r in got]
+    assert sorted(map(str, made)) == sorted(map(str, expected))
+    by_text = {}
+    for r in got:
+        if r.doc_id in (7, 8, 10, 11):
+            by_text.setdefault(r.n_chars, set()).add(r.fingerprint)
+    assert all(len(f) == 1 for f in by_text.values())
+    as_tables(monkeypatch, queries, documents=documents(spark, []))
+    assert queries.op6_fingerprints(spark, "").collect() == []
+
+
+def test_likeness_follows_edits(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(5000)}" for _ in range(600)]
+    changed = list(words)
+    for i in range(0, 600, 60):
+        changed[i] = "changed"
+    swapped = words[300:] + words[:300]
+    other = [f"v{rng.randrange(5000)}" for _ in range(600)]
+    frame = spark.createDataFrame([[" ".join(w) for w in (words, changed, swapped, other)]], "a string, b string, c string, d string")
+    for c in "abcd":
+        frame = fingerprints.with_signature(frame, c, f"s_{c}")
+    near = frame.select(*[fingerprints.likeness(F.col("s_a"), F.col(f"s_{c}")).alias(c) for c in "abcd"]).first()
+    assert near.a == 1.0 and 0.7 < near.b < 1.0 and near.c < near.b + 0.1 and near.d < 0.05
+
+
+def test_only_functions_in_the_plan(spark):
+    docs = documents(spark)
+    plan = fingerprints.with_signature(docs, "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
