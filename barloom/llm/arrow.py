@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+import barloom
+
 #: Characters of text that are turned into Python objects at a time.
 CHUNK_CHARS = 1 << 20
 
@@ -18,8 +23,26 @@ CHUNK_CHARS = 1 << 20
 BATCH_ROWS = 1000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(barloom.__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='barloom-')}/barloom.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, f"{package.name}/{file.relative_to(package)}")
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def batch_limit(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's limit of rows in an Arrow batch, if it is higher."""
+    """Make a session ready for Python on Arrow batches: lower its limit of rows in one, and ship the package."""
+    ship(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, rows)

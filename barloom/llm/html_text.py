@@ -18,16 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.arrow import with_columns
+from barloom.functions.sampling import least_hashes
+from barloom.llm.arrow import batch_limit, with_columns
 from barloom.llm.html_blocks import Block, blocks
 
 #: Pages that the network is fitted on, those with the least hash of their id, and their length at most.
 SAMPLE_PAGES, SAMPLE_CHARS = 160, 100_000
-LAYOUTS_PER_PAGE = 8
-PATH_DIMS, WORD_DIMS, COUNTS = 48, 24, 7
+LAYOUTS = 1280
+PATH_DIMS, WORD_DIMS, COUNTS = 96, 24, 7
 INPUTS = PATH_DIMS + WORD_DIMS + COUNTS
 HIDDEN = 16
-EPOCHS, BATCH, RATE = 16, 32, 0.015
+EPOCHS, BATCH, RATE = 24, 32, 0.012
 PAGES_AT_ONCE = 128
 SEED = 7
 MARK = "\ue000"
@@ -281,7 +282,7 @@ def examples(sampled: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
             mains.append([b.text for b, y in zip(found, labels, strict=True) if y][:30])
         others.extend(b.text for b in found)
     mains = mains or [[WORDS + "."]]
-    for _ in range(LAYOUTS_PER_PAGE * max(len(mains), 40)):
+    for _ in range(LAYOUTS):
         texts = rng.choice(mains)
         found = blocks(layout(rng, [t for t in rng.sample(texts, min(len(texts), rng.randint(1, 12)))], others))
         labels = np.array([float(MARK in b.text) for b in found])
@@ -293,8 +294,9 @@ def examples(sampled: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def fit(pages: DataFrame) -> Network:
     """Train on a bounded sample of pages (``page_id, html``); other layouts of their texts make up the rest."""
-    short = pages.where(F.length("html") <= SAMPLE_CHARS).select("html", F.xxhash64("page_id", "html").alias("_order"))
-    rows = short.orderBy("_order").limit(SAMPLE_PAGES).collect()
+    batch_limit(pages.sparkSession)
+    short = pages.where(F.length("html") <= SAMPLE_CHARS).select("page_id", "html")
+    rows = least_hashes(short, ["page_id"], SAMPLE_PAGES, pages.count()).collect()
     return train(examples([r.html for r in rows]))
 
 

@@ -3,7 +3,8 @@
 A word's score is the log of its odds in toxic against other documents, under a Dirichlet
 prior in proportion to its frequency; only words whose score is significant have one, all
 others weigh a little against a passage. Words without own evidence fall back to their
-beginning. One linear scan finds every maximal scoring segment of a text. How unlikely the
+beginning. One linear scan finds every maximal scoring segment of a text; a word counts where it first stands, as
+further mention says little more. How unlikely the
 best score is in clean text of that length follows an extreme-value law whose parameters are
 fitted to clean documents, and a logistic curve turns that into a probability.
 """
@@ -20,7 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.sampling import least_hashes
 from barloom.llm.arrow import batch_limit, pieces, with_columns
+from barloom.llm.shingles import shingle_set
 from barloom.llm.tables import stored
 
 #: Labelled documents learned from, at most: those with the least hash of their id.
@@ -33,7 +36,7 @@ PRIOR = 5_000.0
 WORD_Z, START_Z = 2.0, 4.0
 START_CHARS = 4
 #: Part of the words of a toxic passage that are toxic themselves.
-DENSITY = 0.1
+DENSITY = 0.25
 #: A passage is reported if clean text of the same length has one as good less often than this.
 SIGNIFICANT = 0.05
 CACHED_WORDS = 300_000
@@ -85,7 +88,7 @@ class Model:
     """What is learned: scores of words and beginnings, the extreme-value law, the logistic curve."""
 
     lexicon: dict[str, float]
-    others: float = -DENSITY
+    others: float = float(np.log1p(-DENSITY))
     rate: float = 1.0
     height: float = 1.0
     curve: tuple[float, float, float] = (0.0, 1.0, 0.0)
@@ -109,6 +112,11 @@ class Model:
         for word in set(words).difference(self.cache):
             self.cache[word] = self.word_score(word)
         scores = np.fromiter(map(self.cache.__getitem__, words), np.float64, len(words))
+        seen: set[str] = set()
+        for i in np.flatnonzero(scores > 0).tolist():
+            if words[i] in seen:
+                scores[i] = self.others
+            seen.add(words[i])
         return (segments(scores) if len(words) and scores.max() > 0 else []), len(words)
 
     def surprise(self, score: float, words: int) -> float:
@@ -133,13 +141,23 @@ def learned(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of at most ``LEARNED_ROWS`` labelled documents that may be learned from, different texts."""
+    """``text, toxic`` of at most ``LEARNED_ROWS`` labelled documents that may be learned from.
+
+    Of documents with the same least shingle hash one is taken: near copies, which mostly share it, would make
+    the rare words of one text look frequent.
+    """
     known = labels.where("toxic is not null").where(learned(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARNED_ROWS)
+    known = stored(known, "toxic-labels")
+    chosen = least_hashes(known, ["doc_id"], LEARNED_ROWS, known.count())
     chosen = chosen.select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
-    return stored(found.groupBy(F.xxhash64("text")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxic-sample").select("text", "toxic")
+    marked = with_columns(found, "text", [T.StructField("mark", T.BinaryType())], _marks)
+    return stored(marked.groupBy("mark").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxic-sample")
+
+
+def _marks(texts: list[str | None]) -> list[list]:
+    return [[shingle_set(t)[:1].tobytes() for t in texts]]
 
 
 def word_counts(learn: DataFrame) -> DataFrame:
