@@ -34,6 +34,11 @@ HEADLINE = [
     "forecast_additive",
     "forecast_vs_actual",
     "weekly_slice",
+    "forecast_validation",
+    "supplier_seasonal",
+    "supplier_box_stats",
+    "box_outliers",
+    "stream_append",
 ]
 RUNS = 2
 

@@ -31,9 +31,11 @@ def order_bars() -> pd.DataFrame:
 
 
 def supplier_bars() -> pd.DataFrame:
-    columns = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    columns = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
     lines = pd.read_parquet(f"{FOLDER}/lineitem.parquet", columns=columns)
-    return _bars(lines, "l_suppkey", "l_shipdate", ["l_orderkey", "l_linenumber", "l_extendedprice"], "l_extendedprice")
+    bars = _bars(lines, "l_suppkey", "l_shipdate", ["l_orderkey", "l_linenumber", "l_extendedprice"], "l_extendedprice")
+    volume = lines.groupby(["l_suppkey", lines.l_shipdate.dt.normalize()]).l_quantity.sum()
+    return bars.assign(volume=volume.to_numpy().astype("int64"))
 
 
 def returns(bars: pd.DataFrame) -> pd.DataFrame:
@@ -64,8 +66,58 @@ def savgol(bars: pd.DataFrame) -> list[np.ndarray]:
     return out
 
 
+def _fenced(bars: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    x = (bars.high - bars.low).rename("x")
+    quart = x.groupby(bars.ticker).quantile([0.25, 0.5, 0.75]).unstack()
+    rows = bars[["ticker", "trading_date"]].assign(x=x).join(quart, on="ticker")
+    reach = 1.5 * (rows[0.75] - rows[0.25])
+    return rows.assign(low=rows[0.25] - reach, high=rows[0.75] + reach), quart
+
+
 def box(bars: pd.DataFrame) -> pd.DataFrame:
-    return (bars.high - bars.low).groupby(bars.ticker).quantile([0.25, 0.5, 0.75])
+    rows, quart = _fenced(bars)
+    inside = rows[(rows.x >= rows.low) & (rows.x <= rows.high)].groupby("ticker").x
+    outside = rows[(rows.x < rows.low) | (rows.x > rows.high)].groupby("ticker").x.count()
+    return quart.assign(low=inside.min(), high=inside.max(), n_outliers=outside)
+
+
+def outliers(bars: pd.DataFrame) -> pd.DataFrame:
+    rows, _ = _fenced(bars)
+    return rows[(rows.x < rows.low) | (rows.x > rows.high)]
+
+
+def histogram(bars: pd.DataFrame) -> list:
+    moves = bars.groupby("ticker").close.pct_change(1)
+    return [np.histogram(x.dropna(), 200) + np.histogram(x.dropna(), 200, density=True) for _, x in moves.groupby(bars.ticker)]
+
+
+def fill(bars: pd.DataFrame) -> pd.DataFrame:
+    return pd.concat([g.set_index("trading_date").asfreq("D") for _, g in bars.groupby("ticker")])
+
+
+def decompose(bars: pd.DataFrame) -> list[pd.DataFrame]:
+    weights = np.r_[0.5, np.ones(29), 0.5] / 30
+    out = []
+    for _, y in bars.groupby("ticker").close:
+        y = y.to_numpy()
+        trend = np.full(len(y), np.nan)
+        if len(y) >= 60:
+            trend[15:-15] = np.convolve(y, weights, "valid")
+        means = np.array([np.nanmean((y - trend)[p::30]) if len(y) >= 60 else np.nan for p in range(30)])
+        seasonal = np.resize(means - means.mean(), len(y))
+        out.append(pd.DataFrame({"trend": trend, "seasonal": seasonal, "resid": y - trend - seasonal}))
+    return out
+
+
+def size_capped() -> pd.DataFrame:
+    sizes = pd.read_parquet(f"{FOLDER}/documents.parquet", columns=["doc_id", "n_chars"]).sort_values("doc_id")
+    upto = sizes.n_chars.cumsum()
+    return sizes[upto - sizes.n_chars <= 1 << 20].assign(running_mb=upto / 2**20)
+
+
+def weekly() -> pd.DataFrame:
+    events = pd.read_parquet(f"{FOLDER}/events.parquet", columns=["ts", "event_type", "value"])
+    return events.groupby([pd.Grouper(key="ts", freq="7D", origin="1970-01-03"), "event_type"]).value.agg(["count", "sum"])
 
 
 def interpolate(bars: pd.DataFrame) -> pd.DataFrame:
@@ -85,6 +137,14 @@ def main() -> None:
         "supplier_panel": lambda: panel(supplier_bars()),
         "accumulation_distribution": lambda: accumulation(order_bars()),
         "box_stats": lambda: box(order_bars()),
+        "supplier_box_stats": lambda: box(supplier_bars()),
+        "box_outliers": lambda: outliers(supplier_bars()),
+        "hist_returns": lambda: histogram(order_bars()),
+        "calendar_fill": lambda: fill(order_bars()),
+        "seasonal_decompose": lambda: decompose(order_bars()),
+        "supplier_seasonal": lambda: decompose(supplier_bars()),
+        "size_capped": size_capped,
+        "weekly_slice": weekly,
         "savgol": lambda: savgol(order_bars()),
         "supplier_savgol": lambda: savgol(supplier_bars()),
     }
