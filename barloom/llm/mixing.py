@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.ordering import numbered
-from barloom.llm.tables import stored
+from barloom.llm.tables import plain_names, stored
 
 #: The source table is broadcast up to this many rows; beyond it, it is joined over salted keys.
 BROADCAST_SOURCES = 10_000
@@ -82,10 +82,11 @@ def copies(key: Column, rate: Column, seed: int) -> Column:
 def mix(df: DataFrame, targets: DataFrame, key: str = "doc_id", seed: int = 9) -> DataFrame:
     """Every document as often as the mix takes it: a row for each copy, with the columns of ``df``.
 
-    Columns named like those of ``targets`` are safe: they are not used beyond ``source``.
-    Repeated rows draw alike. Null keys draw like one key.
+    Repeated rows draw alike, and null keys like one key.
     """
-    rates = targets.select("source", F.col("rate").alias("_rate"))
-    taken = with_source(df, rates).withColumn("_copies", copies(F.col(key), F.col("_rate"), seed))
-    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
-    return taken.where(F.col("_copies") > 0).select(*df.columns, repeated).drop("_copy")
+    inner, at, back = plain_names(df)
+    rates = targets.select("source", "rate")
+    taken = with_source(inner.withColumn("source", F.col(at["source"])), rates)
+    times = taken.withColumn("copies", copies(F.col(at[key]), F.col("rate"), seed)).where("copies > 0")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    return back(times.select(*at.values(), each))

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.llm.tables import plain_names
+
 SEED = 20
 COPIES_AT_ONCE = 100_000
 
@@ -53,22 +55,21 @@ def with_slots(df: DataFrame, shard: str, slot: str = "slot") -> DataFrame:
     pieces, give the offsets. The numbers depend on the rows and the number of
     shuffle partitions only. An existing column named like ``slot`` is replaced.
     """
-    df = df.drop(slot)
-    columns = df.columns
+    inner, at, back = plain_names(df.drop(slot))
+    columns, place = list(at.values()), at[shard]
     parts = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows"))
-    pieces = counted.withColumn("_piece", F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int"))
+    counted = inner.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    pieces = counted.withColumn("piece", F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int"))
     earlier = Window.unboundedPreceding, -1
-    inside = Window.partitionBy(shard, "_piece").orderBy(*columns).rowsBetween(*earlier)
-    inner = pieces.withColumn("_inner", F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
-    totals = pieces.groupBy(F.col(shard).alias("_shard"), "_piece").agg(F.sum("_rows").alias("_total"))
-    earlier_shards = Window.partitionBy("_shard").orderBy("_piece").rowsBetween(*earlier)
-    offsets = totals.withColumn("_outer", F.coalesce(F.sum("_total").over(earlier_shards), F.lit(0)))
-    offsets = offsets.select("_shard", F.col("_piece").alias("_at"), "_outer")
-    same = F.col(shard).eqNullSafe(F.col("_shard")) & (F.col("_piece") == F.col("_at"))
-    first = F.col("_outer") + F.col("_inner")
-    starts = F.explode(F.sequence(first, first + F.col("_rows") - 1, F.lit(COPIES_AT_ONCE).cast("long")))
-    ends = F.least(F.col("_start") + COPIES_AT_ONCE, F.col("_end")) - 1
-    joined = inner.join(offsets, same, "left").withColumn("_end", first + F.col("_rows"))
-    chunks = joined.select(*columns, "_end", starts.alias("_start"))
-    return chunks.select(*columns, F.explode(F.sequence("_start", ends)).alias(slot))
+    inside = Window.partitionBy(place, "piece").orderBy(*columns).rowsBetween(*earlier)
+    numbered = pieces.withColumn("before", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+    totals = pieces.groupBy(F.col(place).alias("of"), F.col("piece").alias("at")).agg(F.sum("copies").alias("total"))
+    earlier_pieces = Window.partitionBy("of").orderBy("at").rowsBetween(*earlier)
+    offsets = totals.select("of", "at", F.coalesce(F.sum("total").over(earlier_pieces), F.lit(0)).alias("offset"))
+    joined = numbered.join(offsets, F.col(place).eqNullSafe(F.col("of")) & (F.col("piece") == F.col("at")), "left")
+    first = F.col("offset") + F.col("before")
+    placed = joined.select(*columns, first.alias("first"), (first + F.col("copies")).alias("end"))
+    starts = F.explode(F.sequence("first", F.col("end") - 1, F.lit(COPIES_AT_ONCE).cast("long"))).alias("start")
+    chunks = placed.select(*columns, "end", starts)
+    last = F.least(F.col("start") + COPIES_AT_ONCE, F.col("end")) - 1
+    return back(chunks.select(*columns, F.explode(F.sequence("start", last)).alias("slot")), F.col("slot").alias(slot))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom.session import shared_folder
 
@@ -20,3 +23,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., DataFrame]]:
+    """The rows under names that clash with nothing, where each column went, and the way back (with more columns, if named)."""
+    at = {name: f"c{i}" for i, name in enumerate(df.columns)}
+
+    def back(out: DataFrame, *more: str) -> DataFrame:
+        return out.select(*[F.col(inner).alias(name) for name, inner in at.items()], *more)
+
+    return df.select(*[F.col(f"`{name}`").alias(inner) for name, inner in at.items()]), at, back

@@ -66,8 +66,8 @@ def test_empty_tables(spark, tmp_path, rows):
 
 def test_clashing_columns_stay(spark, tmp_path):
     folder = made(tmp_path, spark, [], [])
-    docs = documents(spark).selectExpr("*", "'en' as lang", "1 as n_chars", "2 as score", "3 as passages", "4 as _0", "5 as kept", "6 as _copies")
+    docs = documents(spark).selectExpr("*", "'en' as lang", "1 as n_chars", "2 as score", "3 as passages", "4 as _0", "5 as kept", "6 as _copies", "7 as _id", "8 as c0", "9 as copies", "10 as rate", "11 as named")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, folder)
         assert out.columns == docs.columns
-        out.collect()
+        assert out.select("_copies", "_id", "c0", "rate").distinct().collect() == [(6, 7, 8, 10)]

@@ -41,7 +41,7 @@ def test_bad_weights():
 
 def test_slots_of_many_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(sharding, "COPIES_AT_ONCE", 7)
-    frame = spark.range(100).selectExpr("0 as k", "id % 2 as shard", "'x' as slot")
+    frame = spark.range(100).selectExpr("0 as k", "id % 2 as shard", "'x' as slot", "1 as copies", "2 as c0", "3 as piece")
     rows = sharding.with_slots(frame, "shard").collect()
     assert sorted((r.shard, r.slot) for r in rows) == [(s, i) for s in range(2) for i in range(50)]
     assert sharding.with_slots(frame.where("false"), "shard").count() == 0
