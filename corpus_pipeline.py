@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm import bpe, mixing, near_dedup, toxicity
 from barloom.llm.queries import BPE_FILE, mix_targets
-from barloom.llm.tables import stored, table
+from barloom.llm.tables import plain_names, stored, table
 
 #: Documents are rejected from this score on.
 TOXIC = 0.5
@@ -24,10 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, learned from the labelled ones among them, does not call toxic."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = toxicity.fit(docs.select("doc_id", "text"), labels)
-    columns = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
-    scored = toxicity.score(docs.select(*columns), model, f"_{docs.columns.index('text')}")
-    names = [F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)]
-    return scored.where(F.col("score") < TOXIC).select(*names)
+    inner, at, back = plain_names(docs)
+    return back(toxicity.score(inner, model, at["text"]).where(F.col("score") < TOXIC))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
