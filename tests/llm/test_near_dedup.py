@@ -77,8 +77,10 @@ def test_more_rounds_and_listed_pairs_change_nothing(spark, monkeypatch):
     rows = [r for k in range(4) for r in family(rng, 1000 * k, 25, 4, 60)]
     passage = " ".join(f"p{i}" for i in range(60))
     rows += [(5000 + i, passage + " " + " ".join(f"x{i}_{j}" for j in range(18 + i % 6))) for i in range(30)]
-    for rounds in (1, 3):
+    for rounds, each, block in ((1, 0, 4), (3, 0, 1024), (3, 10**6, 7)):
         monkeypatch.setattr(near_dedup, "STAR_ROUNDS", rounds)
+        monkeypatch.setattr(near_dedup, "PAIRS_EACH", each)
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
         assert made(spark, monkeypatch, rows) == expected(rows)
 
 
