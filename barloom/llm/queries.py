@@ -155,25 +155,30 @@ with parts as (
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
 from judged left join rules on rule = rh || rp
 """,
-    "op9_mixing": r"""
-with recursive sized as (
-    select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents
-), grouped as (select source, sum(size)::bigint as source_size from sized group by source
-), ranked as (
-    select *, [3, 1, 2][(row_number() over (order by source is null, source::blob) - 1) % 3 + 1]::double as weight,
-        source_size * 2.0 as most
-    from grouped
-), levels(level, done) as (
-    select 0.0::double, false
-    union all
-    select greatest(next, level), next <= level or next is null from (
-        select level, ((select sum(source_size) from ranked) * 1.5
-            - coalesce((select sum(most) from ranked where weight * level >= most), 0))
-            / (select sum(weight) from ranked where weight * level < most) as next
-        from levels where not done)
-), final as (select max(level) as level from levels)
-select doc_id, size, source_size, least(weight * level, most) as target
-from sized join ranked on sized.source is not distinct from ranked.source cross join final
+    "op10_near_dedup": r"""
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+    from words
+), shingles as (
+    select doc_id, len(s) as n, unnest(s) as shingle from sets
+), links as (
+    select a.doc_id as x, b.doc_id as y, count(*) as common, any_value(a.n) as size_x, any_value(b.n) as size_y
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+    group by 1, 2 having 100 * common >= 75 * (size_x + size_y - common)
+), edges as (
+    select x, y from links union all select y, x from links
+), reached(root, doc_id) as (
+    select doc_id, doc_id from documents
+    union
+    select root, y from reached join edges on x = reached.doc_id
+), components as (
+    select doc_id, min(root) as component_id from reached group by 1
+)
+select doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept from sets join components using (doc_id)
 """,
 }
-ORACLE.pop("op9_mixing")
