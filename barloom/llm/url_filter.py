@@ -17,14 +17,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.arrow import pieces
+from barloom.llm.arrow import batch_limit, pieces
 
 #: The most rules that pass through the driver into one index file; more are looked up by a join.
 INDEXED_RULES = 1_000_000
+_GIVEN: set[tuple[str, str]] = set()
 #: Upper-case letters that hosts are lower-cased by.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -102,17 +103,25 @@ def judge(df: DataFrame, rules: DataFrame, default: str = "allow", url: str = "u
     return _judge_by_index(split, clean, default)
 
 
+def _give_out(spark: SparkSession, keys: list[bytes]) -> str:
+    """The name under which executors find the index of some keys; the same keys are given out once."""
+    name = f"urls-{xxhash.xxh3_128_hexdigest(repr(sorted(set(keys))).encode())}.idx"
+    if (spark.sparkContext.applicationId, name) not in _GIVEN:
+        path = f"{tempfile.mkdtemp(prefix='urls-')}/{name}"
+        write_index(keys, path)
+        spark.sparkContext.addFile(path)
+        _GIVEN.add((spark.sparkContext.applicationId, name))
+    return name
+
+
 def _judge_by_index(df: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     listed = sorted((r.host, r.path, r.verdict) for r in rules.collect())
     spark = df.sparkSession
-    folder = tempfile.mkdtemp(prefix="url-rules-")
+    batch_limit(spark)
     keys, hosts = [(h + p).encode() for h, p, _ in listed], [h.encode() for h, _, _ in listed]
     names = {}
     for kind, content in (("keys", keys), ("hosts", hosts)):
-        mark = xxhash.xxh64_hexdigest(b"\0".join(sorted(set(content))))
-        names[kind] = f"url-{kind}-{mark}.idx"
-        write_index(content, f"{folder}/{names[kind]}")
-        spark.sparkContext.addFile(f"{folder}/{names[kind]}")
+        names[kind] = _give_out(spark, content)
     sizes = sorted({len(p) for _, p, _ in listed})
     #: For each rule string the hosts it can be split at, longest first, with verdicts: bounded like the index.
     schema = T.StructType([*df.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
