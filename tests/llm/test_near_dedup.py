@@ -127,3 +127,28 @@ def test_signatures_estimate_similarity():
         a, b = signatures([v[:250], v[50:]])
         errors.append((a == b).mean() - 200 / 300)
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.04
+
+
+@pytest.mark.parametrize("kind", ["path", "star", "random", "none"])
+def test_components_across_partitions(spark, kind):
+    rng = random.Random(7)
+    nodes = rng.sample(range(10_000), 300)
+    edges = {
+        "path": list(zip(nodes, nodes[1:])),
+        "star": [(n, nodes[0]) for n in nodes[1:]],
+        "random": [(rng.choice(nodes), rng.choice(nodes)) for _ in range(200)],
+        "none": [],
+    }[kind]
+    parent = {n: n for n in nodes}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(9)
+    got = {r.node: r.component for r in near_dedup.components(frame).collect()}
+    assert got == {n: root(n) for n in nodes if root(n) != n}
