@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 _MULTIPLIERS = np.array([xxhash.xxh64_intdigest(b"place", i) | 1 for i in range(WORDS)], np.uint64)
 
 

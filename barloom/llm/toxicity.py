@@ -39,7 +39,7 @@ START_CHARS = 4
 DENSITY = 0.25
 #: A passage is reported if clean text of the same length has one as good less often than this.
 SIGNIFICANT = 0.05
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 EDGES = "".join(map(chr, [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])) + "¡¿«»„“”‚‘’…–—"
 
 PASSAGES = T.ArrayType(
