@@ -3,8 +3,9 @@
 A word's score is the log of its odds in toxic against other documents, under a Dirichlet
 prior in proportion to its frequency; only words whose score is significant have one, all
 others weigh a little against a passage. Words without own evidence fall back to their
-beginning. One linear scan finds every maximal scoring segment of a text; a word counts where it first stands, as
-further mention says little more. How unlikely the
+beginning. One linear scan finds every maximal scoring segment of a text. A word that is said again says
+little more as long as its last mention is near: it counts anew once the words in between outweigh that
+mention, so that a passage is found wherever its words stood before. How unlikely the
 best score is in clean text of that length follows an extreme-value law whose parameters are
 fitted to clean documents, and a logistic curve turns that into a probability.
 """
@@ -64,23 +65,23 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
     Runs over the positive scores only; each becomes a segment, which is joined with an
     earlier one if that starts lower and ends below it, for the sum from there is then larger.
+    Each segment knows the last one before it that starts lower, so none is passed over twice.
     """
     total = np.cumsum(scores)
-    found: list[tuple[int, int, float, float]] = []
+    found: list[tuple[int, int, float, float, int]] = []
     for i in np.flatnonzero(scores > 0).tolist():
         first, low, high = i, float(total[i] - scores[i]), float(total[i])
-        held = len(found)
+        lower = len(found) - 1
         while True:
-            while held and found[held - 1][2] >= low:
-                held -= 1
-            if not held or found[held - 1][3] >= high:
+            while lower >= 0 and found[lower][2] >= low:
+                lower = found[lower][4]
+            if lower < 0 or found[lower][3] >= high:
                 break
-            held -= 1
-            first, low = found[held][0], found[held][2]
-            del found[held:]
-            held = len(found)
-        found.append((first, i, low, high))
-    return [(first, last, high - low) for first, last, low, high in found]
+            at = lower
+            first, _, low, _, lower = found[at]
+            del found[at:]
+        found.append((first, i, low, high, lower))
+    return [(first, last, high - low) for first, last, low, high, _ in found]
 
 
 @dataclass
@@ -112,11 +113,13 @@ class Model:
         for word in set(words).difference(self.cache):
             self.cache[word] = self.word_score(word)
         scores = np.fromiter(map(self.cache.__getitem__, words), np.float64, len(words))
-        seen: set[str] = set()
+        last: dict[str, int] = {}
         for i in np.flatnonzero(scores > 0).tolist():
-            if words[i] in seen:
+            word = word_of(words[i])
+            if word in last and (last[word] + 1 - i) * self.others < scores[i]:
                 scores[i] = self.others
-            seen.add(words[i])
+            else:
+                last[word] = i
         return (segments(scores) if len(words) and scores.max() > 0 else []), len(words)
 
     def surprise(self, score: float, words: int) -> float:

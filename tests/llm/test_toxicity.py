@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -90,6 +91,36 @@ def test_passages_are_found(spark):
     assert [(p.first_word, p.last_word) for p in row.passages][:1] == [(60, 63)]
 
 
+def test_a_passage_is_found_wherever_it_stands(spark):
+    docs, labels = corpus(800, random.Random(3))
+    model = toxicity.fit(documents(spark, docs), as_labels(spark, labels))
+    passage = ["vile", "so", "awful", "nasty", "rotten"]
+    early = [w for bad in BAD for w in (bad, *GOOD[:60])]
+    words = [*early, *passage, *GOOD[60:260], *passage, *GOOD[:100], "vile!", "so", "awful,", "nasty", "rotten", *GOOD[200:210]]
+    row = toxicity.score(documents(spark, [(1, " ".join(words), "s")]), model).first()
+    second = len(early) + 205
+    expected = [(len(early), len(early) + 4), (second, second + 4), (second + 105, second + 109)]
+    assert [(p.first_word, p.last_word) for p in row.passages] == expected
+    scores = [p.score for p in row.passages]
+    assert max(scores) - min(scores) < 1e-9
+    once = model.features(*model.passages(" ".join([*early, *passage, *GOOD[60:260]])))
+    assert model.features(*model.passages(" ".join(words)))[1] > once[1]
+
+
+def test_near_mentions_of_a_word_count_once():
+    model = toxicity.Model({"vile": 2.0})
+    assert [(a, b, round(x, 6)) for a, b, x in model.passages("vile Vile! vile, vile")[0]] == [(0, 0, 2.0)]
+    for between, found in ((6, 1), (7, 2)):
+        assert len(model.passages(" ".join(["vile", *["so"] * between, "(vile)"]))[0]) == found
+
+
+def test_many_segments_in_linear_time():
+    scores = np.tile([2.0] + [-0.3] * 20, 50_000)
+    start = time.process_time()
+    assert len(toxicity.segments(scores)) == 50_000
+    assert time.process_time() - start < 5
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0), (2, None), (None, 1), (1, 1), (99, 1)]])
 def test_odd_rows_and_few_labels(spark, monkeypatch, labels):
     for rows in (ROWS, []):
