@@ -72,7 +72,7 @@ def features(page: list[Block]) -> np.ndarray:
         words = block.text.split()
         row = out[i]
         row[:PATH_DIMS] = _path_vector(block.path)
-        buckets = np.bincount([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_DIMS for w in words[:64]], minlength=WORD_DIMS)
+        buckets = np.bincount([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_DIMS for w in words], minlength=WORD_DIMS)
         row[PATH_DIMS : PATH_DIMS + WORD_DIMS] = buckets / max(len(words), 1)
         text = block.text
         row[PATH_DIMS + WORD_DIMS :] = (
@@ -228,7 +228,9 @@ def layout(rng: random.Random, main: list[str], others: list[str]) -> str:
         tag = rng.choice({"menu": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"], "comments": ["section", "div", "ol"], "sidebar": ["aside", "div"]}.get(kind, ["div", "section", "p"]))
         named = rng.random() < 0.85 or tag in ("div", "section", "p", "ul", "ol")
         attribute = f' {rng.choice(["class", "class", "id"])}="{name.replace(" ", rng.choice(["-", " ", "_"]))}"' if named else ""
-        if kind in ("menu", "sidebar") and rng.random() < 0.8:
+        if rng.random() < 0.05:
+            inner = f"<p>{' '.join(words(60) for _ in range(rng.randint(4, 12)))}</p>"
+        elif kind in ("menu", "sidebar") and rng.random() < 0.8:
             inner = "".join(f"<li><a href='/x'>{words(rng.randint(1, 3))}</a></li>" for _ in range(rng.randint(2, 8)))
             inner = inner if tag == "ul" else f"<ul>{inner}</ul>"
         elif kind == "comments":
@@ -244,6 +246,8 @@ def layout(rng: random.Random, main: list[str], others: list[str]) -> str:
 
     body = [f"<h1>{MARK}{main[0][:80]}</h1>"] if rng.random() < 0.8 else []
     listed = rng.random() < 0.2
+    if rng.random() < 0.1:
+        main = [" ".join(rng.choices(main, k=rng.randint(4, 20)))]
     for text in main:
         tag = rng.choice(["p", "p", "p", "p", "h2", "blockquote", "div"]) if len(text) > 60 else "p"
         broken = rng.random() < 0.25

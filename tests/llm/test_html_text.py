@@ -5,7 +5,7 @@ import pytest
 from helpers import as_tables
 
 from barloom.llm import html_text, queries
-from barloom.llm.html_blocks import blocks
+from barloom.llm.html_blocks import Block, blocks
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav><!-- <p>no</p> -->
@@ -96,6 +96,38 @@ def test_other_parts_of_pages_are_left_out(trained):
     assert chosen == [a, b, c]
 
 
+def test_all_words_of_a_block_count():
+    start = ["sea"] * 64
+    one, other, twice = (
+        html_text.features([Block(("p",), " ".join(words), 0)])[0, html_text.PATH_DIMS : html_text.PATH_DIMS + html_text.WORD_DIMS]
+        for words in (start + ["land"] * 300, start + ["tree"] * 300, (start + ["land"] * 300) * 2)
+    )
+    assert np.abs(one - other).max() > 0.5
+    np.testing.assert_allclose(one, twice)
+    assert abs(one.sum() - 1) < 1e-12
+
+
+def long_page(rng):
+    """A page whose article is one long block, between other long blocks, and the article's text."""
+    menu, article, comment, legal = (" ".join(texts(rng, n)) for n in (1, 20, 12, 16))
+    return (
+        f"<html><body><nav><ul><li><a href='/a'>{menu[:12]}</a></li></ul></nav><article><p>{article}</p></article>"
+        f"<section class='comments'><p>{comment}</p></section><footer><p>{legal}</p></footer></body></html>"
+    ), article
+
+
+def test_long_blocks(trained):
+    rng = random.Random(9)
+    right = 0
+    for _ in range(100):
+        page, article = long_page(rng)
+        found = blocks(page)
+        chosen = [b.text for b, p in zip(found, trained.label([html_text.features(found)])[0], strict=True) if p >= 0.5]
+        assert len(article.split()) > 200
+        right += chosen == [article]
+    assert right >= 95
+
+
 def test_query_on_odd_rows(spark, monkeypatch):
     rng = random.Random(8)
     made = [texts(rng, 3) for _ in range(40)]
