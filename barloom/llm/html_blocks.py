@@ -8,7 +8,10 @@ from dataclasses import dataclass
 
 #: Fixed values of HTML: elements that cannot have content, whose content is no text, that break lines.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg".split())
+RAW = frozenset("script style iframe".split())
+#: Elements that hold others and show no text of their own, up to their end tag; and one that is a block within any other.
+HIDDEN = frozenset("template svg".split())
+SET_APART = "noscript"
 BLOCK = frozenset(
     "html head body title address article aside blockquote button canvas caption center dd details dialog div dl dt fieldset"
     " figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr label legend li main menu nav ol option p pre section"
@@ -35,11 +38,36 @@ def named(attributes: str) -> list[str]:
     return NAME_PART.findall(" ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower())
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    """Where a raw element ends whose start tag ends at ``at``: behind its end tag, or with the page."""
+    end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def hidden_ends(page: str, at: int) -> dict[int, int]:
+    """From ``at`` on, for each hidden element that has an end tag of its own: the ends of its start tag and of its end tag."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {tag: [] for tag in HIDDEN}
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        tag = (m.group(2) or "").lower()
+        if tag in HIDDEN:
+            if not m.group(1):
+                if not (tag == "svg" and m.group(3).endswith("/")):
+                    opened[tag].append(at)
+            elif opened[tag]:
+                ends[opened[tag].pop()] = at
+        elif tag in RAW and not m.group(1):
+            at = _raw_end(page, tag, at)
+    return ends
+
+
 def blocks(page: str | None) -> list[Block]:
     """Blocks with text in page order; references decoded, white space in a block made one space, trimmed.
 
-    Comments, scripts and styles are no text. Missing end tags are supplied, stray ones passed over, a page that
-    ends early ends all that is open.
+    Comments, scripts, styles, frames, templates and drawings are no text. Missing end tags are supplied, stray
+    ones passed over, a page that ends early ends all that is open. A template or drawing without an end tag
+    hides nothing. What a page shows without scripts is a block like others.
     """
     page = page or ""
     found: list[Block] = []
@@ -48,6 +76,7 @@ def blocks(page: str | None) -> list[Block]:
     pending: list[str] = []
     linked = 0
     inside: tuple[str, ...] = ()
+    hidden: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -83,7 +112,7 @@ def blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in BLOCK:
+        if tag in BLOCK or tag == SET_APART:
             flush()
         if m.group(1):
             for i in range(len(stack) - 1, -1, -1):
@@ -93,8 +122,14 @@ def blocks(page: str | None) -> list[Block]:
                     break
             continue
         if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            at = _raw_end(page, tag, at)
+            continue
+        if tag in HIDDEN:
+            if tag == "svg" and m.group(3).endswith("/"):
+                continue
+            if hidden is None:
+                hidden = hidden_ends(page, m.start())
+            at = hidden.get(at, at)
             continue
         if tag in VOID or m.group(3).endswith("/"):
             continue

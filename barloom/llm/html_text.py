@@ -244,6 +244,9 @@ def layout(rng: random.Random, main: list[str], others: list[str]) -> str:
     def form() -> str:
         return f"<form><label>{words(2)}</label><input><button>{words(1)}</button></form>"
 
+    def without_scripts() -> str:
+        return f"<noscript>{words(rng.randint(3, 15))}</noscript>"
+
     body = [f"<h1>{MARK}{main[0][:80]}</h1>"] if rng.random() < 0.8 else []
     listed = rng.random() < 0.2
     if rng.random() < 0.1:
@@ -251,6 +254,9 @@ def layout(rng: random.Random, main: list[str], others: list[str]) -> str:
     for text in main:
         tag = rng.choice(["p", "p", "p", "p", "h2", "blockquote", "div"]) if len(text) > 60 else "p"
         broken = rng.random() < 0.25
+        if rng.random() < 0.04:
+            body.append(f"<noscript>{MARK}{text}</noscript>")
+            continue
         body.append(f"<{tag}>{'<b>' if broken else ''}{MARK}{text}{'' if broken and tag == 'p' else f'</{tag}>'}")
         if listed and rng.random() < 0.3:
             body.append(f"<ul><li>{MARK}{words(8)}</li><li>{MARK}{words(6)}</li></ul>")
@@ -267,6 +273,8 @@ def layout(rng: random.Random, main: list[str], others: list[str]) -> str:
     after = [other(k) for k in ("comments", "sidebar", "ad", "notice", "footer") if rng.random() < 0.45]
     if rng.random() < 0.3:
         rng.choice([before, after]).append(form())
+    if rng.random() < 0.15:
+        rng.choice([before, after]).append(without_scripts())
     rng.shuffle(before)
     end = rng.choice(["</body></html>", ""])
     return f"<html><head><title>{main[0][:60]}</title></head><body>{''.join(before)}{''.join(whole)}{''.join(after)}{end}"

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -35,6 +36,26 @@ def test_blocks():
     assert blocks(None) == blocks("") == blocks("<p> <br></p>") == []
 
 
+def test_nothing_but_hidden_elements_is_dropped():
+    for mark in ("<svg class='i'/>", "<svg class='i' />", "<SVG/>", "<svg>", "<template>", "<noscript>", "<noscript></noscript>"):
+        assert " ".join(x for _, x in paths(f"<p>a {mark}b</p><p>c</p>")) == "a b c", mark
+        if "noscript" not in mark:
+            assert paths(f"<p>a {mark}b</p><p>c <svg><text>no</text></svg>d</p>") == [("p", "a b"), ("p", "c d")], mark
+    assert paths("<p>a<svg><svg><text>no</text></svg><svg/>no</svg>b<template><p>no<template>no</template>no</template>c") == [("p", "abc")]
+    assert paths("<p>a<svg><!-- </svg> --><style>x{}</svg></style>no</svg>b") == [("p", "ab")]
+    assert paths("<svg><template>no</template>a<p>b</svg>") == [] and paths("<template>a<svg>no</svg><p>b") == [("", "a"), ("p", "b")]
+    assert paths("<p>a<script>b</p>") == [("p", "a")]
+    found = blocks("<article><p>a <noscript>b <img src='x'></noscript>c</p><noscript><p>d</p></noscript></article>")
+    assert [b.text for b in found] == ["a", "b", "c", "d"]
+    assert found[0].path == found[2].path == ("article", "p") and "noscript" in found[1].path
+
+
+def test_many_open_elements_in_linear_time():
+    start = time.process_time()
+    assert [b.text for b in blocks("<svg><template>a " * 50_000)] == ["a " * 49_999 + "a"]
+    assert time.process_time() - start < 10
+
+
 def test_gradients_are_the_slopes_of_the_loss():
     rng = np.random.default_rng(0)
     net = html_text.Network.fresh(rng)
@@ -96,6 +117,17 @@ def test_other_parts_of_pages_are_left_out(trained):
     assert chosen == [a, b, c]
 
 
+def test_text_without_scripts_is_judged(trained):
+    rng = random.Random(10)
+    right = 0
+    for _ in range(100):
+        a, b, c, d = texts(rng, 4)
+        page = f"<html><body><nav><a href='/'>x</a></nav><noscript>{d}</noscript><article><h1>{a}</h1><p>{b}</p><noscript>{c}</noscript></article>"
+        found = blocks(page)
+        right += [x.text for x, p in zip(found, trained.label([html_text.features(found)])[0], strict=True) if p >= 0.5] == [a, b, c]
+    assert right >= 90
+
+
 def test_all_words_of_a_block_count():
     start = ["sea"] * 64
     one, other, twice = (
