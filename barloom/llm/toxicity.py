@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.sampling import least_hashes
+from barloom.llm import near_dedup
 from barloom.llm.arrow import batch_limit, pieces, with_columns
-from barloom.llm.shingles import shingle_set
 from barloom.llm.tables import stored
 
 #: Labelled documents learned from, at most: those with the least hash of their id.
@@ -146,21 +146,20 @@ def learned(doc_id: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``text, toxic`` of at most ``LEARNED_ROWS`` labelled documents that may be learned from.
 
-    Of documents with the same least shingle hash one is taken: near copies, which mostly share it, would make
-    the rare words of one text look frequent.
+    Of a group of near duplicates one document of each label is taken, that with the least hash: near copies would
+    make the rare words of one text look frequent. Texts without words are like no other.
     """
     known = labels.where("toxic is not null").where(learned(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = stored(known, "toxic-labels")
     chosen = least_hashes(known, ["doc_id"], LEARNED_ROWS, known.count())
     chosen = chosen.select(F.col("doc_id").alias("_id"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
-    marked = with_columns(found, "text", [T.StructField("mark", T.BinaryType())], _marks)
-    return stored(marked.groupBy("mark").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxic-sample")
-
-
-def _marks(texts: list[str | None]) -> list[list]:
-    return [[shingle_set(t)[:1].tobytes() for t in texts]]
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    found = stored(found.select(F.xxhash64("doc_id", "text").alias("id"), "text", "toxic"), "toxic-labelled")
+    alike = near_dedup.groups(found.select(F.col("id").alias("doc_id"), "text")).select(F.col("doc_id").alias("id"), "component_id")
+    alike = alike.distinct().join(found.select("id", "toxic").distinct(), "id")
+    kept = stored(alike.groupBy("component_id", "toxic").agg(F.min("id").alias("id")), "toxic-kept")
+    return stored(found.join(kept.select("id"), "id", "left_semi").dropDuplicates(["id"]).select("text", "toxic"), "toxic-sample")
 
 
 def word_counts(learn: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from barloom.llm import queries, toxicity
+from barloom.llm.shingles import shingle_set
 
 
 def brute_segments(scores):
@@ -121,6 +122,27 @@ def test_many_segments_in_linear_time():
     assert time.process_time() - start < 5
 
 
+def test_only_near_copies_are_learned_once(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rng = random.Random(5)
+    own = lambda n: " ".join(rng.choice(GOOD) for _ in range(n))
+    line = min((own(5) for _ in range(3000)), key=lambda t: shingle_set(t)[0])
+    shared = [(f"{line} {own(20)}", i % 2) for i in range(100)]
+    base = own(100)
+    copies = [(f"{base} end{i}", i % 2) for i in range(20)]
+    wordless = [("" if i % 2 else " ", i // 2) for i in range(4)]
+    texts = [*shared, *copies, *wordless]
+    docs = [(i, t, "s") for i, (t, _) in zip(ids, texts, strict=False)]
+    labels = [(i, y) for i, (_, y) in zip(ids, texts, strict=False)]
+    got = [tuple(r) for r in toxicity.sample(documents(spark, [*docs, *docs[:3]]), as_labels(spark, labels)).collect()]
+    assert set(got) <= set(texts)
+    assert sorted(r for r in got if line in r[0]) == sorted(shared)
+    assert sorted(y for t, y in got if base in t) == [0, 1]
+    assert sorted(r for r in got if not r[0].strip()) == sorted(wordless)
+    again = toxicity.sample(documents(spark, docs[::-1]), as_labels(spark, labels)).collect()
+    assert sorted(map(tuple, again)) == sorted(got)
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0), (2, None), (None, 1), (1, 1), (99, 1)]])
 def test_odd_rows_and_few_labels(spark, monkeypatch, labels):
     for rows in (ROWS, []):
