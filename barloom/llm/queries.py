@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, edited, fingerprints, html_text, mixing, near_dedup, sharding, token_counts, topk, toxicity, url_filter
+from barloom.llm import (
+    bpe,
+    edited,
+    fingerprints,
+    html_text,
+    mixing,
+    near_dedup,
+    quality,
+    sharding,
+    spelling,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+    whitening,
+)
 from barloom.llm.tables import stored, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -109,6 +124,22 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.groups(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, folder, "documents").select("doc_id", "text")))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = whitening.scaled(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_sharding": op2_sharding,
@@ -120,9 +151,114 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_spelling": op12_spelling,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_quality_rules": r"""
+with recursive split as (
+    select row_number() over () as r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w,
+        list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l
+    from (select doc_id, coalesce(text, '') as t from documents)
+), windows as (
+    select r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as x from (select r, w, unnest(range(1, len(w) - 1)) as i from split)
+), repeated as (
+    select r, count(distinct p) as n from (
+        select r, unnest([i, i + 1, i + 2]) as p from (select r, i, count(*) over (partition by r, x) as c from windows) where c > 1
+    ) group by r
+), measured as (
+    select doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
+        coalesce(n, 0) as n_repeat_words, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as n_same,
+        len(list_filter(w, lambda x: not regexp_matches(x, '\p{L}'))) as n_other,
+        len(regexp_extract_all(t, '\p{Lu}')) as n_capitals, len(regexp_extract_all(t, '[!?]{2}')) as n_marks,
+        len(list_filter(w, lambda x: list_contains([""" + ", ".join(f"'{w}'" for w in quality.COMMON) + r"""], lower(x)))) as n_common
+    from split left join repeated on split.r = repeated.r
+), voted as (
+    select *, case when n_words > 0 then [
+        case when n_symbols / n_words >= 0.1 then -1 when n_symbols / n_words <= 0.02 then 1 else 0 end,
+        case when n_repeat_words / n_words >= 0.3 then -1 when n_repeat_words / n_words <= 0.1 then 1 else 0 end,
+        case when n_dup_lines / n_lines >= 0.3 then -1 when n_dup_lines / n_lines <= 0.05 then 1 else 0 end,
+        case when n_same / n_words >= 0.1 then -1 when n_same / n_words <= 0.02 then 1 else 0 end,
+        case when n_other / n_words >= 0.2 then -1 when n_other / n_words <= 0.05 then 1 else 0 end,
+        case when n_capitals / word_chars >= 0.2 then -1 when n_capitals / word_chars <= 0.06 then 1 else 0 end,
+        case when n_marks / n_words >= 0.1 then -1 when n_marks / n_words <= 0.02 then 1 else 0 end,
+        case when 1 - n_common / n_words >= 0.96::double then -1 when 1 - n_common / n_words <= 0.9::double then 1 else 0 end,
+        case when abs(word_chars / n_words - 6) >= 4 then -1 when abs(word_chars / n_words - 6) <= 2.5 then 1 else 0 end
+    ] end as v from measured
+), patterns as (
+    select v, count(*) as n from voted where not base_failed group by v
+), em(i, good, g, b) as (
+    select 0, 0.75::double, [0.8::double for _ in range(9)], [0.8::double for _ in range(9)]
+    union all
+    select i + 1, good, g, b from (
+        with scored as (
+            select i, v, n, 1 / (1 + exp(-ln(good / (1 - good)) - list_sum([
+                case v[j] when 1 then ln(g[j] / (1 - b[j])) when -1 then ln((1 - g[j]) / b[j]) else 0 end for j in range(1, 10)]))) as q
+            from em, patterns where i < 100
+        ), right_votes as (
+            select i, j,
+                (sum(if(v[j] = 1, n * q, 0)) + 16) / (sum(if(v[j] <> 0, n * q, 0)) + 20) as gj,
+                (sum(if(v[j] = -1, n * (1 - q), 0)) + 16) / (sum(if(v[j] <> 0, n * (1 - q), 0)) + 20) as bj
+            from scored, (select unnest(range(1, 10)) as j) group by i, j
+        )
+        select i, (select (sum(n * q) + 15) / (sum(n) + 20) from scored) as good, list(gj order by j) as g, list(bj order by j) as b
+        from right_votes group by i
+    )
+), model as (
+    select coalesce(max_by(good, i), 0.75) as good, max_by(g, i) as g, max_by(b, i) as b from em
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and 1 / (1 + exp(-ln(good / (1 - good)) - list_sum([
+        case v[j] when 1 then ln(g[j] / (1 - b[j])) when -1 then ln((1 - g[j]) / b[j]) else 0 end for j in range(1, 10)]))) >= 0.5 as kept
+from voted, model
+""",
+    "op12_spelling": r"""
+with recursive powers(byte, step, rest) as (
+    select byte, 0, byte::bigint from range(256) as bytes(byte)
+    union all
+    select byte, step + 1, xor(rest >> 1, (rest & 1) * 3988292384) from powers where step < 8
+), crc_table as (
+    select list(rest order by byte) as crc from powers where step = 8
+), runs as (
+    select coalesce(doc_id::varchar, '') as k, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as run
+    from documents
+), counted as (
+    select k, run, count(*) as n from runs where length(run) >= 7 group by all
+), hashed as (
+    select run, n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(k || ':' || run))),
+            lambda i: ('0x' || hex(encode(k || ':' || run))[2 * i + 1 : 2 * i + 2])::bigint)),
+        lambda c, byte: xor(c >> 8, crc[1 + (xor(c, byte) & 255)])), 4294967295) as h
+    from counted, crc_table
+), lost as (
+    select case when h % 31 = 0 then run[1 : h % length(run)] || run[h % length(run) + 2 :] else run end as word, n from hashed
+), words as (
+    select word, sum(n)::bigint as n from lost where length(word) >= 7 group by word having sum(n) >= 2
+), gaps as (
+    select word, n, unnest([(i, word[1 : i] || word[i + 2 :]) for i in range(length(word))]) as gap from words
+), pairs as (
+    select a.word as x, b.word as y, b.n as m from gaps a join gaps b on a.gap = b.gap and a.word <> b.word
+    union
+    select g.word, w.word, w.n from gaps g join words w on g.gap[2] = w.word
+    union
+    select w.word, g.word, g.n from gaps g join words w on g.gap[2] = w.word
+), near as (
+    select x, count(*) as n_near, max(m) as best_n, min_by(y, (-m, y)) as best from pairs group by x
+), formed as (
+    select word, n, coalesce(n_near, 0) as n_near, if(best_n >= 10 * n, best, null) as form, if(best_n >= 10 * n, best_n, null) as form_n
+    from words left join near on word = x
+), chain(word, reached, steps) as (
+    select word, word, 0 from formed
+    union all
+    select chain.word, form, steps + 1 from chain join formed on chain.reached = formed.word where form is not null
+)
+select f.word, form, root, n, n_near, form_n
+from formed f join (select word, max_by(reached, steps) as root from chain group by word) using (word)
+""",
     "op8_topk": """
 with scaled as (
     select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
