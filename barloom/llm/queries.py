@@ -186,13 +186,13 @@ with recursive split as (
         case when n_other / n_words >= 0.2 then -1 when n_other / n_words <= 0.05 then 1 else 0 end,
         case when n_capitals / word_chars >= 0.2 then -1 when n_capitals / word_chars <= 0.06 then 1 else 0 end,
         case when n_marks / n_words >= 0.1 then -1 when n_marks / n_words <= 0.02 then 1 else 0 end,
-        case when 1 - n_common / n_words >= 0.96::double then -1 when 1 - n_common / n_words <= 0.9::double then 1 else 0 end,
+        case when 1 - (n_common + 3) / n_words >= 0.96::double then -1 when 1 - (n_common + 3) / n_words <= 0.9::double then 1 else 0 end,
         case when abs(word_chars / n_words - 6) >= 4 then -1 when abs(word_chars / n_words - 6) <= 2.5 then 1 else 0 end
     ] end as v from measured
 ), patterns as (
     select v, count(*) as n from voted where not base_failed group by v
 ), em(i, good, g, b) as (
-    select 0, 0.75::double, [0.8::double for _ in range(9)], [0.8::double for _ in range(9)]
+    select 0, 0.75::double, [0.95::double for _ in range(9)], [0.3::double for _ in range(9)]
     union all
     select i + 1, good, g, b from (
         with scored as (
@@ -201,8 +201,8 @@ with recursive split as (
             from em, patterns where i < 100
         ), right_votes as (
             select i, j,
-                (sum(if(v[j] = 1, n * q, 0)) + 16) / (sum(if(v[j] <> 0, n * q, 0)) + 20) as gj,
-                (sum(if(v[j] = -1, n * (1 - q), 0)) + 16) / (sum(if(v[j] <> 0, n * (1 - q), 0)) + 20) as bj
+                (sum(if(v[j] = 1, n * q, 0)) + 19) / (sum(if(v[j] <> 0, n * q, 0)) + 20) as gj,
+                (sum(if(v[j] = -1, n * (1 - q), 0)) + 6) / (sum(if(v[j] <> 0, n * (1 - q), 0)) + 20) as bj
             from scored, (select unnest(range(1, 10)) as j) group by i, j
         )
         select i, (select (sum(n * q) + 15) / (sum(n) + 20) from scored) as good, list(gj order by j) as g, list(bj order by j) as b
