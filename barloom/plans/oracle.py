@@ -154,22 +154,19 @@ def _smoothed(bars: str) -> str:
 poly as (select x, 1.0::double as p0, x::double as p1, (x * x - 80)::double as p2, x * x * x - 719 * x / 5.0::double as p3
          from (select cast(unnest(range(-15, 16)) as integer) as x)),
 norm as (select sum(p0 * p0) as n0, sum(p1 * p1) as n1, sum(p2 * p2) as n2, sum(p3 * p3) as n3 from poly),
-hat as materialized (
-  select a.x as j, b.x as k, a.p0 * b.p0 / n0 + a.p1 * b.p1 / n1 + a.p2 * b.p2 / n2 + a.p3 * b.p3 / n3 as w
-  from poly a, poly b, norm),
-seq as materialized (
+hat as (
+  select a.x as j, list(a.p0 * b.p0 / n0 + a.p1 * b.p1 / n1 + a.p2 * b.p2 / n2 + a.p3 * b.p3 / n3 order by b.x) as w
+  from poly a, poly b, norm group by a.x),
+hats as (select list(w order by j) as rows from hat),
+seq as (
   select ticker, trading_date, x, row_number() over (partition by ticker order by trading_date) as p,
-         count(*) over (partition by ticker) as n from ranges),
-place as materialized (
-  select ticker, p, p - greatest(1, least(p - 15, n - 30)) - 15 as j, greatest(1, least(p - 15, n - 30)) + 15 as middle
-  from seq where n > 31),
-near as materialized (
-  select ticker, p, j, k, middle + k as at from (select *, cast(unnest(range(-15, 16)) as integer) as k from place)),
-weighed as materialized (select near.ticker, near.p, near.at, hat.w from near join hat on hat.j = near.j and hat.k = near.k),
-fit as (select weighed.ticker, weighed.p, sum(w * seq.x) as v
-        from weighed join seq on seq.ticker = weighed.ticker and seq.p = weighed.at group by 1, 2)
-select c.ticker, c.trading_date, round(c.x * 4096) / 4096 as price_diff, round(fit.v * 4096) / 4096 as smoothed
-from seq c left join fit on fit.ticker = c.ticker and fit.p = c.p"""
+         count(*) over (partition by ticker) as n,
+         list(x) over (partition by ticker order by trading_date rows between 30 preceding and 30 following) as near from ranges),
+place as (select *, greatest(1, least(p - 15, n - 30)) as first from seq)
+select ticker, trading_date, round(x * 4096) / 4096 as price_diff,
+       case when n > 31 then round(list_dot_product(list_slice(near, first - greatest(1, p - 30) + 1, first - greatest(1, p - 30) + 31),
+                                                    rows[p - first + 1]) * 4096) / 4096 end as smoothed
+from place, hats"""
 
 
 def _decomposed(bars: str) -> str:
