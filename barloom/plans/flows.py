@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.operators import distributions, indicators, select, smoothing
 from barloom.operators.append import newer_than_latest
@@ -15,24 +16,43 @@ from barloom.operators.forecast import HORIZON_DAYS, beside_actual, forecast_add
 from barloom.operators.series import attach, per_series, with_segment
 from barloom.schema import ATTRIBUTES, LANDED
 from barloom.session import shared_folder
+from barloom.sources import manifest
 from barloom.sources.payloads import flatten_payloads, write_rejects
-from barloom.sources.stored import append_bars, read_parquet
+from barloom.sources.stored import append_bars, read_or_empty, read_parquet
 from barloom.streaming.append import append_batch, read_latest
 
 MODELS = {"baseline": forecast_baseline, "additive": forecast_additive}
 
 
 def ingest(spark: SparkSession, landing: str, store: str) -> None:
-    """Decode landed responses and append the bars newer than those stored.
+    """Decode landed responses that no batch has read yet and append the bars newer than those stored, exactly once.
 
-    What is no bar is written beside the store, in ``<store>_rejects``; the last days of the tickers, all that
-    the next run needs to know of the store, in ``<store>_latest``.
+    What is no bar is written beside the store, in ``<store>_rejects``, in a folder for each batch; the last days of the tickers, all that
+    the next run needs to know of the store, in ``<store>_latest``. The batch exists, for all readers, once its manifest is
+    written: a run that dies before leaves nothing that counts, and the next one reads the same files again. The names of the new
+    files pass through the driver, as in any listing.
     """
-    landed = spark.read.schema(LANDED).json(landing)
+    files = manifest.landed_files(spark, landing, store).collect()
+    if not files:
+        return
+    landed = spark.read.schema(LANDED).json([manifest.as_literal(f.path) for f in files])
+    folder = manifest.folder_of(uuid.uuid4().hex, 0)
+    write_rejects(landed, f"{store}_rejects", f"/{folder}")
     fresh = newer_than_latest(flatten_payloads(landed), read_latest(spark, store))
-    folder = f"run={uuid.uuid4().hex}/batch=0"
-    append_batch(fresh, store, folder)
-    write_rejects(landed, f"{store}_rejects")
+    append_batch(fresh, store, folder, spark.createDataFrame(files, "path string, modified timestamp, length long"))
+
+
+def stored_rejects(spark: SparkSession, store: str) -> tuple[DataFrame, DataFrame]:
+    """What existing batches of ``ingest`` have rejected: responses, and elements of others."""
+    placed = "run string, batch long"
+    found = []
+    for kind, schema in (("responses", "status int, payload string"), ("elements", "ticker string, element string")):
+        def read(session: SparkSession, path: str, schema: str = schema) -> DataFrame:
+            return session.read.schema(f"{schema}, {placed}").json(path)
+
+        rows = read_or_empty(spark, f"{store}_rejects/{kind}", read, T._parse_datatype_string(f"{schema}, {placed}"))
+        found.append(manifest.listed(rows, store).drop("run", "batch"))
+    return found[0], found[1]
 
 
 def regular_series(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:

@@ -298,6 +298,14 @@ select ticker, bin, round(left_edge, 6) as left_edge, round(right_edge, 6) as ri
 with {SUPPLIER_BARS}, {RANGES}, {FENCES}
 select ticker, trading_date, round(x, 4) as price_diff, case when x < lo then 'low' else 'high' end as side
 from fenced where x < lo or x > hi""",
+    "store_box_stats": f"""with {SUPPLIER_BARS}, {RANGES},
+q as (select ticker, count(x) as n, min(x) as lo, max(x) as hi, quantile_disc(x, 0.25) as q1, quantile_disc(x, 0.5) as median,
+             quantile_disc(x, 0.75) as q3 from ranges group by 1)
+select q.ticker, n, round(lo, 4) as min, round(q1, 4) as q1, round(median, 4) as median, round(q3, 4) as q3, round(hi, 4) as max,
+       round(least(min(x) filter (x >= q1 - 1.5 * (q3 - q1)), q1), 4) as whisker_low,
+       round(greatest(max(x) filter (x <= q3 + 1.5 * (q3 - q1)), q3), 4) as whisker_high,
+       count(*) filter (x < q1 - 1.5 * (q3 - q1) or x > q3 + 1.5 * (q3 - q1)) as n_outliers
+from q join ranges on ranges.ticker = q.ticker group by q.ticker, n, lo, hi, q1, median, q3""",
     "savgol": _smoothed(ORDER_BARS),
     "supplier_savgol": _smoothed(SUPPLIER_BARS),
     "seasonal_decompose": _decomposed(ORDER_BARS),

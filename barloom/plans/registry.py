@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from barloom.functions.dates import midnight, shift_to_utc
 from barloom.operators import clean, distributions, indicators, select, smoothing
-from barloom.operators.append import missing_from_stored, newer_than_stored
+from barloom.operators.append import missing_from_stored, newer_than_latest, newer_than_stored
 from barloom.operators.forecast import beside_actual, forecast_additive, forecast_baseline
+from barloom.operators.sketches import approx_box_stats
 from barloom.plans import flows
 from barloom.plans.settings import (
     AS_OF,
@@ -30,7 +31,7 @@ from barloom.session import shared_folder
 from barloom.sources import listing
 from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_elements, rejected_payloads
 from barloom.sources.tables import order_bars, supplier_bars, table
-from barloom.streaming.append import append_stream, stored_bars
+from barloom.streaming.append import append_batch, append_stream, read_latest, read_sketches, stored_bars
 from barloom.streaming.slices import weekly_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,6 +252,15 @@ def supplier_box_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _box(supplier_bars(spark, folder))
 
 
+def store_box_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Box statistics of a store of two batches, from the sketches that each append has left."""
+    bars, store = supplier_bars(spark, folder), f"{shared_folder(spark, 'sketched')}/store"
+    append_batch(_stored_part(bars), store, "run=q/batch=0")
+    append_batch(newer_than_latest(bars, read_latest(spark, store)), store, "run=q/batch=1")
+    stats = approx_box_stats(read_sketches(spark, store))
+    return rounded(stats, 4, "min", "q1", "median", "q3", "max", "whisker_low", "whisker_high")
+
+
 def box_outliers(spark: SparkSession, folder: str) -> DataFrame:
     # Line items have long-tailed daily ranges; the order table's ranges have hardly any outlier.
     outliers = distributions.box_outliers(select.price_range(supplier_bars(spark, folder)), "price_diff")
@@ -376,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "box_stats": box_stats,
     "supplier_box_stats": supplier_box_stats,
     "box_outliers": box_outliers,
+    "store_box_stats": store_box_stats,
     "savgol": savgol,
     "supplier_savgol": supplier_savgol,
     "seasonal_decompose": seasonal_decompose,

@@ -56,10 +56,10 @@ def rejected_elements(landed: DataFrame) -> DataFrame:
     return _elements(landed).where(~F.col("_ok")).select("ticker", "element")
 
 
-def write_rejects(landed: DataFrame, folder: str) -> None:
-    """Everything of the landed responses that ``flatten_payloads`` leaves out."""
-    rejected_payloads(landed).write.mode("overwrite").json(f"{folder}/responses")
-    rejected_elements(landed).write.mode("overwrite").json(f"{folder}/elements")
+def write_rejects(landed: DataFrame, folder: str, batch: str = "") -> None:
+    """Everything of the landed responses that ``flatten_payloads`` leaves out; of one ``batch``, if there are many in a folder."""
+    rejected_payloads(landed).write.mode("overwrite").json(f"{folder}/responses{batch}")
+    rejected_elements(landed).write.mode("overwrite").json(f"{folder}/elements{batch}")
 
 
 def pack_payloads(bars: DataFrame) -> DataFrame:
