@@ -36,6 +36,38 @@ def period_slice(bars: DataFrame, periods: Sequence[tuple[str, str, str]] = MARK
     return bars.where(any_period).withColumn("period", F.explode(labels))
 
 
+#: Calendar days of a bucket, in which bars and pieces of periods meet, and parts that a bucket's bars are dealt to.
+BUCKET_DAYS, PARTS = 32, 64
+
+
+def label_periods(bars: DataFrame, periods: DataFrame, day: str = "trading_date") -> DataFrame:
+    """Label bars with the periods of a table ``period, start, end`` they lie strictly inside; a bar in several comes several times.
+
+    A null start or end is open. Periods are cut at the borders of calendar buckets, so bars find them by an equal bucket; the exact
+    test follows. Each bucket's bars are dealt to ``PARTS`` parts, with a copy of the bucket's pieces for each, so that no
+    day or ticker makes a part hot. Spark sends the pieces to the bars if it measures them to be small, and else
+    shuffles both. Open ends reach as far as the bars do. Periods that hold no day, repeated ones included, label nothing more than their rows say:
+    a repeated row labels twice. Bars without a date are in no period.
+    """
+    dated = bars.where(F.col(day).isNotNull())
+    first, last = (dated.agg(f(F.unix_date(day))).scalar() for f in (F.min, F.max))
+    bucket = lambda n: F.floor(n / BUCKET_DAYS).cast("int")
+    named = periods.select("period", F.unix_date(F.col("start").cast("date")).alias("_start"), F.unix_date(F.col("end").cast("date")).alias("_end"))
+    reach = named.select(
+        "*", F.greatest(F.coalesce(F.col("_start") + 1, first), first).alias("_from"), F.least(F.coalesce(F.col("_end") - 1, last), last).alias("_to")
+    )
+    pieces = (
+        reach.where(F.col("_from") <= F.col("_to"))
+        .select("period", "_from", "_to", F.explode(F.sequence(bucket(F.col("_from")), bucket(F.col("_to")))).alias("_bucket"))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    )
+    keyed = [c for c in ("ticker", day) if c in bars.columns]
+    placed = dated.withColumn("_day", F.unix_date(day)).withColumn("_bucket", bucket(F.col("_day")))
+    dealt = placed.withColumn("_part", F.pmod(F.xxhash64(*keyed), F.lit(PARTS)).cast("int"))
+    met = dealt.join(pieces, ["_bucket", "_part"]).where((F.col("_day") >= F.col("_from")) & (F.col("_day") <= F.col("_to")))
+    return met.select(*bars.columns, "period")
+
+
 def price_range(bars: DataFrame) -> DataFrame:
     """Add ``price_diff``, the day's high minus its low."""
     return bars.withColumn("price_diff", F.col("high") - F.col("low"))

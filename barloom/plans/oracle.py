@@ -232,6 +232,12 @@ select doc_id, n_chars, round(upto / 1024 / 1024, 6) as running_mb from (
     "period_slice": f"""
 with {ORDER_BARS}, per as (select * from (values {PERIOD_ROWS}) v(period, lo, hi))
 select period, ticker, trading_date, open from bars join per on trading_date > lo and trading_date < hi""",
+    "period_table": f"""with {ORDER_BARS},
+years as (select c_nationkey as nation, year(o_orderdate) as year, cast(min(o_orderdate) as date) as lo, cast(max(o_orderdate) as date) as hi
+          from orders join customer on o_custkey = c_custkey group by 1, 2),
+periods as (select nation || '-' || year as period, case when nation <> 3 then lo end as lo, case when nation <> 7 then hi end as hi from years)
+select period, ticker, count(*) as n, min(trading_date) as first_day, max(trading_date) as last_day, max(open) as top
+from bars join periods on (lo is null or trading_date > lo) and (hi is null or trading_date < hi) group by 1, 2""",
     "bars_between": f"""
 with {ORDER_BARS} select * from bars where trading_date >= date '{RANGE_START}' and trading_date < date '{RANGE_END}'""",
     "date_bounds": f"""

@@ -132,6 +132,22 @@ def period_slice(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("period", "ticker", "trading_date", "open")
 
 
+def period_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars labelled by a table of periods: each nation's first to last order of each year, some of them open at one end."""
+    orders = table(spark, folder, "orders").select("o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    years = orders.join(customers, "o_custkey").groupBy("nation", F.year("day").alias("year")).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    periods = years.select(
+        F.concat_ws("-", "nation", "year").alias("period"),
+        F.when(F.col("nation") != 3, F.col("lo")).alias("start"),
+        F.when(F.col("nation") != 7, F.col("hi")).alias("end"),
+    )
+    labelled = select.label_periods(order_bars(spark, folder), periods)
+    return labelled.groupBy("period", "ticker").agg(
+        F.count(F.lit(1)).alias("n"), F.min("trading_date").alias("first_day"), F.max("trading_date").alias("last_day"), F.max("open").alias("top")
+    )
+
+
 def bars_between(spark: SparkSession, folder: str) -> DataFrame:
     return select.bars_between(order_bars(spark, folder), RANGE_START, RANGE_END)
 
@@ -362,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "size_capped": size_capped,
     "price_range": price_range,
     "period_slice": period_slice,
+    "period_table": period_table,
     "bars_between": bars_between,
     "date_bounds": date_bounds,
     "series_mode": series_mode,

@@ -57,20 +57,5 @@ STORED = T.StructType([T.StructField(k, _edge_type(v)) for k, v in sorted(STORED
 # JSON written straight from the API keeps the API's names.
 API_ROW = T.StructType([T.StructField(k, _edge_type(v)) for k, v in API_NAMES.items()])
 
-# One response: the ticker and its bars, which are decoded one by one.
-API_PAYLOAD = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("data", T.ArrayType(T.StringType()))])
-API_ELEMENT = T.StructType([f for f in API_ROW if f.name != "ticker"])
-
 # A landed response: its text and the HTTP status.
 LANDED = T.StructType([T.StructField("status", T.IntegerType()), T.StructField("payload", T.StringType())])
-
-FORECAST = T.StructType(
-    [
-        T.StructField("ticker", T.StringType()),
-        T.StructField("attr", T.StringType()),
-        T.StructField("ds", T.DateType()),
-        T.StructField("yhat", T.DoubleType()),
-        T.StructField("yhat_lower", T.DoubleType()),
-        T.StructField("yhat_upper", T.DoubleType()),
-    ]
-)

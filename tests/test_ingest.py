@@ -58,6 +58,29 @@ def test_every_element_is_a_bar_or_a_reject(spark):
     assert [r.payload[:14] for r in rejected_payloads(whole).collect()] == ['{"ticker":"B",']
 
 
+def test_kinds_of_values(spark):
+    """Numbers are numbers, texts are not; whole shares only; numbers as a ticker, other keys and their order do not matter."""
+    texts = [
+        '{"zz":[{"a":1}],"data":[{"volume":7,"tradingDate":"2023-01-02","open":1e2,"extra":{"k":[1]}}],"ticker":5}',
+        '{"ticker":"A","data":[{"tradingDate":"2023-01-03","volume":"7"},{"tradingDate":"2023-01-04","open":"2"},{"tradingDate":"2023-01-05","open":true},'
+        '{"tradingDate":"2023-01-06","volume":99999999999999999999},{"tradingDate":"2023-01-07","open":99999999999999999999},[1],"x"]}',
+        '{"ticker":"B","data":[{"tradingDate":"2023-01-08","close":{"v":1}},{"tradingDate":20230109},{"tradingDate":null,"open":1}]}',
+        '{"ticker":"C","data":{"tradingDate":"2023-01-02"}}', '{"data":[]}', '{"ticker":null,"data":[]}', "[]", "", '{"ticker":"D"',
+    ]
+    landed = spark.createDataFrame([(200, t) for t in texts], LANDED)
+    got = sorted((r.ticker, str(r.trading_date), r.open, r.volume) for r in flatten_payloads(landed).collect())
+    assert got == [("5", "2023-01-02", 100.0, 7), ("A", "2023-01-07", 1e20, None)]
+    rejected = sorted((r.ticker, r.element) for r in rejected_elements(landed).collect())
+    assert len(rejected) == 9 and ("A", "[1]") in rejected and ("A", '{"tradingDate":"2023-01-03","volume":"7"}') in rejected
+    assert rejected_payloads(landed).count() == 6
+
+
+def test_a_response_is_parsed_once(spark):
+    landed = spark.createDataFrame([(200, "{}")], LANDED)
+    plan = flatten_payloads(landed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 1 and "from_json" not in plan and "get_json_object" not in plan
+
+
 def test_stored_numbers_are_finite(spark, tmp_path):
     nan, inf = float("nan"), float("inf")
     frame = spark.createDataFrame([("A", dt.date(2023, 1, 2), nan, inf, -inf, 1.0, 5)], BAR)
