@@ -261,11 +261,11 @@ from formed f join (select word, max_by(reached, steps) as root from chain group
 """,
     "op8_topk": """
 with scaled as (
-    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v from embeddings
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::hugeint) as v from embeddings
     where vec_id is not null and embedding is not null
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-    select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v)::bigint as score
+    select q.vec_id as query_id, c.vec_id as vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0)::bigint as score
     from scaled q join scaled c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
 ), ranked as (
     select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored

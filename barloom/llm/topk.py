@@ -24,9 +24,10 @@ CANDIDATES, QUERIES = 2048, 256
 PAIRS_AT_ONCE = 128
 #: Dimensions accumulated between two looks at the bounds.
 STEP = 16
-#: Scaled components must be less than this, so that they are exact.
-LARGEST = 2.0**53
-EXACT = 2.0**53
+#: Sums of products up to the first are exact in doubles, up to the second in 64-bit integers; beyond, Python's integers are used.
+EXACT, LONG = 2.0**53, 2.0**63
+#: Relative rounding of a score or bound that is looked at as a double.
+ROUNDING = 1e-12
 
 _BLOCK = "block long, n int, dims int, ids binary, marks binary, data binary"
 
@@ -58,8 +59,6 @@ def _packed(df: DataFrame, size: int, scale: float) -> DataFrame:
         for batch in batches:
             for i, mark, vector in zip(*(batch.column(c) for c in ("id", "mark", "vector")), strict=True):
                 values = np.floor(np.array(vector.values.to_numpy(zero_copy_only=False), "<f8") * scale)
-                if len(values) and not np.abs(values).max() < LARGEST:
-                    continue
                 ids.append(i.as_py())
                 marks.append(mark.as_py())
                 vectors.append(values)
@@ -84,20 +83,32 @@ def _tails(data: np.ndarray, cuts: list[int]) -> np.ndarray:
     return np.sqrt(np.array([squares[c:].sum(axis=0) for c in cuts]))
 
 
+def _whole(data: np.ndarray) -> np.ndarray:
+    """The same whole numbers as Python integers."""
+    return np.array([int(x) for x in data.ravel()], object).reshape(data.shape)
+
+
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object and any(not -(2**63) <= s < 2**63 for s in scores):
+        raise OverflowError("an inner product does not fit a long")
+    return scores.astype(np.int64)
+
+
 class _Best:
-    """The k best of one block of queries so far; smaller ids win ties."""
+    """The k best of one block of queries so far, as longs; smaller ids win ties."""
 
     def __init__(self, ids: np.ndarray, data: np.ndarray, k: int):
         self.ids, self.data, self.k = ids, data, k
-        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, np.int64))] * len(ids)
+        self.found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ids)
 
     def meet(self, ids: np.ndarray, data: np.ndarray) -> None:
         depth = max(len(self.data), len(data))
         queries, rows = (np.pad(x, ((0, depth - len(x)), (0, 0))) for x in (self.data, data))
-        if depth * max(np.abs(queries).max(initial=0), 1) * max(np.abs(rows).max(initial=0), 1) >= EXACT:
-            queries, rows = queries.astype(np.int64), rows.astype(np.int64)
+        reach = depth * max(float(np.abs(queries).max(initial=0)), 1.0) * max(float(np.abs(rows).max(initial=0)), 1.0)
         cuts = [*range(0, depth, STEP)][1:] + [depth]
-        left, own_left = _tails(rows.astype(float), cuts), _tails(queries.astype(float), cuts)
+        left, own_left = _tails(rows, cuts), _tails(queries, cuts)
+        if reach >= EXACT:
+            queries, rows = (x.astype(np.int64) if reach < LONG else _whole(x) for x in (queries, rows))
         first = queries[: cuts[0]].T @ rows[: cuts[0]]
         for q in range(len(self.ids)):
             alive = np.flatnonzero(ids != self.ids[q])
@@ -108,23 +119,24 @@ class _Best:
                     score = score + queries[cuts[at - 1] : cut, q] @ rows[cuts[at - 1] : cut, alive]
                 if cut == depth:
                     break
-                slack = own_left[at, q] * left[at, alive] * (1 + 1e-9) + 1
-                floor = known[-1] if len(known) == self.k else -np.inf
+                so_far = score.astype(float)
+                slack = own_left[at, q] * left[at, alive] * (1 + 1e-9) + 1 + np.abs(so_far) * ROUNDING
+                floor = float(known[-1]) - abs(float(known[-1])) * ROUNDING if len(known) == self.k else -np.inf
                 if len(alive) >= self.k:
-                    floor = max(floor, np.partition(score - slack, len(alive) - self.k)[len(alive) - self.k])
-                stays = score + slack >= floor
+                    floor = max(floor, np.partition(so_far - slack, len(alive) - self.k)[len(alive) - self.k])
+                stays = so_far + slack >= floor
                 alive, score = alive[stays], score[stays]
-            scores, found = np.concatenate([known, score]), np.concatenate([known_ids, ids[alive]])
-            order = np.lexsort((found, -scores))[: self.k]
+            scores, found = np.concatenate([known, _as_long(score)]), np.concatenate([known_ids, ids[alive]])
+            order = np.lexsort((found, ~scores))[: self.k]
             self.found[q] = scores[order], found[order]
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int, scale: float = 64.0) -> DataFrame:
     """For each query its ``k`` highest integer inner products: ``query_id, rank, vec_id, score``.
 
-    Both sides have ``vec_id, embedding``. Components become floor(scale * x). Vectors that are null, hold
-    null or non-finite components, or are 2**53 or more after scaling, take no part, nor do those without an id.
-    Vectors of other lengths count as filled with zeros; sums beyond 64 bits wrap around. Rows with the query's
+    Both sides have ``vec_id, embedding``. Components become floor(scale * x), exactly, however large. Vectors that are null or hold
+    null or non-finite components take no part, nor do those without an id.
+    Vectors of other lengths count as filled with zeros; a score that does not fit a long and could be among the best is an error. Rows with the query's
     id are its own. Ranks start at 1, ties go to smaller ids. Repeated candidates are candidates each;
     a query repeated with the same vector is one query.
     """

@@ -47,6 +47,42 @@ def test_odd_vectors(spark, monkeypatch):
     assert sorted(map(tuple, queries.op8_topk(spark, "").collect())) == brute(rows)
 
 
+def test_scores_beyond_whole_doubles(spark, monkeypatch):
+    """2^54 + 1 and 2^54 differ; products near 2^60 and vectors of 1e20 and 3e30 are exact; found scores keep their digits."""
+    big = 2.0**21  # 2^27 after scaling
+    cases = [
+        [(0, [big, 1 / 64], 0), (1, [big, 0.0], 0), (2, [big, 1 / 64], 0)],
+        [(0, [2.0**24, 3 / 64, 1.0], 0)] + [(i, [2.0**24, i / 64, -1.0], 0) for i in range(1, 60)],
+        [(0, [1.0, 0.0], 0), (1, [0.0, 1e20], 0), (2, [2.0, 0.0], 0), (20, [0.0, 1 / 64], 0)],
+        [(20, [3e30, 0.0], 0), (1, [0.0, 1e20], 0), (2, [0.0, 3.0], 0), (40, [0.0, -1.0], 0)],
+    ]
+    for k, rows in enumerate(cases):
+        frame = embeddings(spark, rows)
+        as_tables(monkeypatch, queries, embeddings=frame)
+        monkeypatch.setattr(topk, "CANDIDATES", 2)
+        expected = [r for r in brute(rows)]
+        if any(abs(s) >= 2**63 for *_, s in expected):
+            with pytest.raises(Exception, match="does not fit a long"):
+                queries.op8_topk(spark, "").collect()
+            continue
+        assert sorted(map(tuple, queries.op8_topk(spark, "").collect())) == expected
+        if k != 3:
+            assert expected == sorted(sql_rows(queries.ORACLE["op8_topk"], embeddings=frame.toPandas()))
+
+
+def test_large_and_small_blocks_meet(spark, monkeypatch):
+    """Blocks of small and of large vectors, many dimensions: bounds are cautious where scores are rounded to be compared."""
+    rng = random.Random(6)
+    monkeypatch.setattr(topk, "CANDIDATES", 8)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    rows = [(i, [rng.choice([1.0, 2.0**22, 2.0**23 + 1]) * rng.choice([-1, 1]) + rng.randrange(64) / 64 for _ in range(40)], 0) for i in range(120)]
+    as_tables(monkeypatch, queries, embeddings=embeddings(spark, rows))
+    import numpy as np
+
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v, _ in rows]
+    assert sorted(map(tuple, queries.op8_topk(spark, "").collect())) == brute(rows)
+
+
 def test_fewer_than_k_and_none(spark, monkeypatch):
     for rows in ([(0, [1.0], 0)], [], [(1, [1.0], 0)], [(0, [1.0], 0), (7, [2.0], 0)]):
         as_tables(monkeypatch, queries, embeddings=embeddings(spark, rows))
