@@ -8,6 +8,8 @@ from barloom.plans.settings import (
     ENDPOINT,
     GAP_EVERY,
     HISTORY_END,
+    LANDINGS,
+    LATENESS,
     MORE_ROWS_THAN,
     NEW_TICKER,
     PERIODS,
@@ -360,6 +362,14 @@ from parts left join fc on fc.ticker = parts.ticker and fc.attr = parts.attr and
 with e as (select *, cast(date '1970-01-03' + 7 * cast(floor(date_diff('day', date '1970-01-03', cast(ts as date)) / 7.0) as integer) as date) as s
            from events)
 select s as slice_start, s + 7 as slice_end, event_type, count(*) as n, round(sum(value), 2) as total from e group by s, event_type""",
+    "late_rows": f"""with firsts as (
+  select event_id, event_type, ts, least(least((day(ts) - 1) // 10, 2)
+         + case when event_id % 5 = 0 then 1 when event_id % 7 = 0 then 2 else 0 end, {LANDINGS - 1}) as landing from events),
+arrivals as (select * from firsts union select event_id, event_type, ts, least(landing + 1, {LANDINGS - 1}) from firsts where event_id % 3 = 0),
+marks as (select landing, max(max(ts)) over (order by landing rows between unbounded preceding and 1 preceding) - interval '{LATENESS}' as mark
+          from arrivals group by landing)
+select distinct event_id, event_type, ts from arrivals join marks using (landing)
+where mark is null or date_trunc('millisecond', ts) > date_trunc('millisecond', mark)""",
     "utc_shift": """
 select event_id, ts - interval 7 hours as utc_ts, cast(ts - interval 7 hours as date) as utc_date,
        date_trunc('day', ts) as day_start from events""",

@@ -20,6 +20,8 @@ from barloom.plans.settings import (
     ENDPOINT,
     GAP_EVERY,
     HISTORY_END,
+    LANDINGS,
+    LATENESS,
     MORE_ROWS_THAN,
     NEW_TICKER,
     PERIODS,
@@ -32,7 +34,7 @@ from barloom.sources import listing
 from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_elements, rejected_payloads
 from barloom.sources.tables import order_bars, supplier_bars, table
 from barloom.streaming.append import append_batch, append_stream, read_latest, read_sketches, stored_bars
-from barloom.streaming.slices import weekly_slices
+from barloom.streaming.slices import append_on_time, weekly_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -353,6 +355,22 @@ def weekly_slice(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(weekly_slices(table(spark, folder, "events")), 2, "total")
 
 
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events streamed in three landings: most in the third of the month they belong to, some one or two landings late, some twice."""
+    events = table(spark, folder, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("int")
+    late = F.when(F.col("event_id") % 5 == 0, 1).when(F.col("event_id") % 7 == 0, 2).otherwise(0)
+    first = F.least(third + late, F.lit(2))
+    arrivals = F.array_distinct(F.array(first, F.when(F.col("event_id") % 3 == 0, F.least(first + 1, F.lit(2))).otherwise(first)))
+    placed = events.withColumn("landing", F.explode(arrivals))
+    base = shared_folder(spark, "late-rows")
+    for i in range(LANDINGS):
+        placed.where(F.col("landing") == i).drop("landing").write.mode("append").parquet(f"{base}/landing")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/landing")
+        append_on_time(stream, ["event_id"], f"{base}/store", f"{base}/progress", lateness=LATENESS).awaitTermination()
+    return spark.read.parquet(f"{base}/store").select("event_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 def utc_shift(spark: SparkSession, folder: str) -> DataFrame:
     local = F.col("ts").cast("timestamp")
     return table(spark, folder, "events").select(
@@ -417,5 +435,6 @@ QUERIES: dict[str, Query] = {
     "forecast_vs_actual": forecast_vs_actual,
     "forecast_validation": forecast_validation,
     "weekly_slice": weekly_slice,
+    "late_rows": late_rows,
     "utc_shift": utc_shift,
 }

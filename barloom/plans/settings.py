@@ -11,3 +11,5 @@ RANGE_START, RANGE_END = "1999-03-06", "2000-03-04"
 PERIODS = [("slump", "1997-08-01", "1998-12-31"), ("recovery", "2000-01-01", "2001-06-30")]
 GAP_EVERY = 97
 EMPTY_ANSWER = '{"ticker":"%s-%d","data":[]}'
+LANDINGS = 3
+LATENESS = "4 days"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 # Slices are weeks that start on Saturdays, two days after the default start.
 SLICE = "7 days"
@@ -22,3 +23,15 @@ def weekly_slices(events: DataFrame, key: str = "event_type", ts: str = "ts", va
 def distinct_late_rows(stream: DataFrame, keys: list[str], ts: str = "ts", lateness: str = "7 days") -> DataFrame:
     """Drop repeated rows of a stream that arrive within the allowed lateness."""
     return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(keys)
+
+
+def append_on_time(stream: DataFrame, keys: list[str], store: str, checkpoint: str, ts: str = "ts", lateness: str = "7 days") -> StreamingQuery:
+    """Append each row of a stream once to ``store``, unless it comes too late, then stop.
+
+    Too late is a row that is not after the latest time of earlier batches less ``lateness``. Keys are kept as state for as
+    long as a copy could still be on time, so the state holds the rows of that span and not the whole history. The
+    files and the state's progress are committed together by the sink, and a batch that is run again adds nothing.
+    """
+    kept = distinct_late_rows(stream, keys, ts, lateness)
+    writer = kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    return writer.trigger(availableNow=True).start(store)

@@ -8,7 +8,7 @@ from barloom.schema import LANDED
 from barloom.sources.payloads import pack_payloads
 from barloom.sources.tables import order_bars, table
 from barloom.streaming.append import append_batch, append_stream, read_latest, stored_bars
-from barloom.streaming.slices import distinct_late_rows, weekly_slices
+from barloom.streaming.slices import append_on_time, distinct_late_rows, weekly_slices
 
 
 def run(spark, base, files=None):
@@ -85,3 +85,22 @@ def test_streamed_slices_equal_batch(spark, tmp_path):
     got = sorted((r.slice_start, r.event_type, r.n, round(r.total, 6)) for r in spark.table("slices").collect())
     want = sorted((r.slice_start, r.event_type, r.n, round(r.total, 6)) for r in weekly_slices(events).collect())
     assert got == want
+
+
+def test_late_rows_stay_out_and_copies_come_once(spark, tmp_path):
+    """Out of order over four landings: on time within a day of the latest earlier time, however old the landing's other rows are."""
+    schema = "event_id long, ts timestamp, value double"
+    hour = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    landings = [
+        [(1, hour(0)), (2, hour(48)), (2, hour(48))],  # before any mark all rows are on time
+        [(3, hour(24)), (4, hour(25)), (1, hour(0)), (2, hour(48)), (5, hour(10))],  # mark at 24: later rows only
+        [(6, hour(200)), (7, hour(30)), (4, hour(25))],
+        [(8, hour(176)), (9, hour(177)), (6, hour(200)), (7, hour(30))],  # mark at 176
+    ]
+    for rows in landings:
+        spark.createDataFrame([(*r, 1.0) for r in rows], schema).write.mode("append").parquet(f"{tmp_path}/in")
+        for _ in range(2):  # the second run finds nothing new
+            stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+            append_on_time(stream, ["event_id"], f"{tmp_path}/store", f"{tmp_path}/progress", lateness="1 day").awaitTermination()
+    kept = spark.read.parquet(f"{tmp_path}/store")
+    assert sorted(r.event_id for r in kept.collect()) == [1, 2, 4, 6, 7, 9]
