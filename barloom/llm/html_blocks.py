@@ -22,6 +22,8 @@ CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr":
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_PART = re.compile(r"[a-z]+")
+#: A last attribute value without quotes, which keeps a slash at its end.
+UNQUOTED = re.compile(r"=\s*[^\s\"']+$")
 
 
 @dataclass
@@ -38,6 +40,11 @@ def named(attributes: str) -> list[str]:
     return NAME_PART.findall(" ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower())
 
 
+def _drawn_whole(tag: str, attributes: str) -> bool:
+    """Whether a start tag closes itself. Outside drawings HTML passes over such a slash."""
+    return tag == "svg" and attributes.endswith("/") and not UNQUOTED.search(attributes)
+
+
 def _raw_end(page: str, tag: str, at: int) -> int:
     """Where a raw element ends whose start tag ends at ``at``: behind its end tag, or with the page."""
     end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
@@ -53,7 +60,7 @@ def hidden_ends(page: str, at: int) -> dict[int, int]:
         tag = (m.group(2) or "").lower()
         if tag in HIDDEN:
             if not m.group(1):
-                if not (tag == "svg" and m.group(3).endswith("/")):
+                if not _drawn_whole(tag, m.group(3)):
                     opened[tag].append(at)
             elif opened[tag]:
                 ends[opened[tag].pop()] = at
@@ -125,13 +132,13 @@ def blocks(page: str | None) -> list[Block]:
             at = _raw_end(page, tag, at)
             continue
         if tag in HIDDEN:
-            if tag == "svg" and m.group(3).endswith("/"):
+            if _drawn_whole(tag, m.group(3)):
                 continue
             if hidden is None:
                 hidden = hidden_ends(page, m.start())
             at = hidden.get(at, at)
             continue
-        if tag in VOID or m.group(3).endswith("/"):
+        if tag in VOID:
             continue
         ends = (tag,) if tag in CLOSES_ITSELF else ("p",) if tag in BLOCK else ()
         limits = CLOSES_ITSELF.get(tag, ())

@@ -29,7 +29,9 @@ PATH_DIMS, WORD_DIMS, COUNTS = 96, 24, 7
 INPUTS = PATH_DIMS + WORD_DIMS + COUNTS
 HIDDEN = 16
 EPOCHS, BATCH, RATE = 24, 32, 0.012
-PAGES_AT_ONCE = 128
+#: Pages run together, places for blocks in such a run (longest page x pages), and blocks of a longer page alone at a time.
+PAGES_AT_ONCE, PLACES = 128, 1 << 15
+STRETCH = 4096
 SEED = 7
 MARK = "\ue000"
 WORDS = "the of and a to in is it for on with as at by an be this that from or"
@@ -65,12 +67,14 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return out
 
 
-def features(page: list[Block]) -> np.ndarray:
-    """One row for each block."""
-    out = np.zeros((len(page), INPUTS))
-    for i, block in enumerate(page):
+def features(page: list[Block], start: int = 0, end: int | None = None) -> np.ndarray:
+    """One row for each block, or for those from ``start`` to ``end``."""
+    end = len(page) if end is None else min(end, len(page))
+    out = np.zeros((end - start, INPUTS))
+    for i in range(start, end):
+        block = page[i]
         words = block.text.split()
-        row = out[i]
+        row = out[i - start]
         row[:PATH_DIMS] = _path_vector(block.path)
         buckets = np.bincount([zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORD_DIMS for w in words], minlength=WORD_DIMS)
         row[PATH_DIMS : PATH_DIMS + WORD_DIMS] = buckets / max(len(words), 1)
@@ -105,16 +109,66 @@ class Network:
         """Probability of each block to be main text; pages of like length are run together."""
         results: list[np.ndarray] = [np.zeros(0)] * len(pages)
         order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        for start in range(0, len(order), PAGES_AT_ONCE):
-            chosen = order[start : start + PAGES_AT_ONCE]
+        start = 0
+        while start < len(order):
+            end = start + 1
+            while end < len(order) and end - start < PAGES_AT_ONCE and len(pages[order[end]]) * (end - start + 1) <= PLACES:
+                end += 1
+            chosen = order[start:end]
             x, mask = _padded([pages[i] for i in chosen])
             ahead = _run(self.forward, x, mask)[0]
             back = _run(self.backward, x[::-1], mask[::-1])[0][::-1]
             z = ahead @ self.out[:HIDDEN] + back @ self.out[HIDDEN:-1] + self.out[-1]
             for column, i in enumerate(chosen):
                 results[i] = _sigmoid(z[: len(pages[i]), column])
+            start = end
         return results
 
+    def label_long(self, page: list[Block]) -> np.ndarray:
+        """The same for a page of any number of blocks: its vectors are made and read a stretch at a time, in both directions."""
+        z = np.full(len(page), self.out[-1])
+        starts = range(0, len(page), STRETCH)
+        for weights, out, turned in ((self.forward, self.out[:HIDDEN], False), (self.backward, self.out[HIDDEN:-1], True)):
+            h, c = np.zeros((1, HIDDEN)), np.zeros((1, HIDDEN))
+            for start in reversed(starts) if turned else starts:
+                x = features(page, start, start + STRETCH)
+                from_x = (x[::-1] if turned else x) @ weights[:INPUTS]
+                part = np.zeros(len(x))
+                for t in range(len(x)):
+                    h, c = _cell(from_x[t] + h @ weights[INPUTS:], c)[:2]
+                    part[t] = (h @ out)[0]
+                z[start : start + len(x)] += part[::-1] if turned else part
+        return _sigmoid(z)
+
+    def label_blocks(self, pages: list[list[Block]]) -> list[np.ndarray]:
+        """Probabilities for pages of any length: the longer ones one by one, the others together."""
+        results = [self.label_long(p) if len(p) > STRETCH else np.zeros(0) for p in pages]
+        short = [i for i, p in enumerate(pages) if len(p) <= STRETCH]
+        held: list[int] = []
+
+        def run() -> None:
+            for i, found in zip(held, self.label([features(pages[i]) for i in held]), strict=True):
+                results[i] = found
+            held.clear()
+
+        blocks_held = 0
+        for i in short:
+            if held and blocks_held + len(pages[i]) > PLACES:
+                run()
+                blocks_held = 0
+            held.append(i)
+            blocks_held += len(pages[i])
+        run()
+        return results
+
+
+def _cell(z: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, ...]:
+    """New hidden and cell state, and the gates."""
+    i, f, o = (_sigmoid(z[:, k * HIDDEN : (k + 1) * HIDDEN] + (k == 1)) for k in range(3))
+    g = np.tanh(z[:, 3 * HIDDEN :])
+    c_new = f * c + i * g
+    return o * np.tanh(c_new), c_new, i, f, o, g
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
@@ -136,11 +190,7 @@ def _run(weights: np.ndarray, x: np.ndarray, mask: np.ndarray, keep: bool = Fals
     states, held = np.zeros((steps, pages, HIDDEN)), []
     from_x = x @ weights[:INPUTS]
     for t in range(steps):
-        z = from_x[t] + h @ weights[INPUTS:]
-        i, f, o = (_sigmoid(z[:, k * HIDDEN : (k + 1) * HIDDEN] + (k == 1)) for k in range(3))
-        g = np.tanh(z[:, 3 * HIDDEN :])
-        c_new = f * c + i * g
-        h_new = o * np.tanh(c_new)
+        h_new, c_new, i, f, o, g = _cell(from_x[t] + h @ weights[INPUTS:], c)
         if keep:
             held.append((h, c, i, f, o, g, c_new))
         h, c = mask[t] * h_new + (1 - mask[t]) * h, mask[t] * c_new + (1 - mask[t]) * c
@@ -321,7 +371,7 @@ def extract(df: DataFrame, net: Network, page: str = "html", text: str = "text")
 
     def make(pages: list[str | None]) -> list[list]:
         found = [blocks(p) for p in pages]
-        chances = net.label([features(f) for f in found])
+        chances = net.label_blocks(found)
         texts = [" ".join(b.text for b, p in zip(f, c, strict=True) if p >= 0.5) for f, c in zip(found, chances, strict=True)]
         return [texts, list(map(len, texts))]
 

@@ -1,5 +1,9 @@
+import os
 import random
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -179,3 +183,35 @@ def test_columns_of_the_same_names(spark):
     frame = pages(spark, [(1, "u", "<p>x")]).selectExpr("*", "1 as text", "2 as n_chars", "3 as other")
     net = html_text.Network.fresh(np.random.default_rng(0))
     assert html_text.extract(frame, net).columns == ["page_id", "url", "html", "other", "text", "n_chars"]
+
+
+def test_long_pages_alone_or_in_a_run_are_labelled_alike(monkeypatch):
+    net = html_text.Network.fresh(np.random.default_rng(5))
+    page = blocks("".join(f"<div class=c{i % 7}><p>word {i} and more</p></div>" for i in range(500)))
+    short = [blocks(f"<p>one {i}<p>two") for i in range(30)]
+    together = net.label([html_text.features(p) for p in [page, *short]])
+    monkeypatch.setattr(html_text, "STRETCH", 64)
+    monkeypatch.setattr(html_text, "PLACES", 10)
+    for one, other in zip(together, net.label_blocks([page, *short]), strict=True):
+        assert np.allclose(one, other, atol=1e-12)
+    assert [len(x) for x in net.label_blocks([[], page, []])] == [0, 500, 0]
+
+
+def test_memory_of_a_page_with_very_many_blocks():
+    """170,000 short blocks beside 50 small pages, in less than 2 GB."""
+    code = (
+        "import resource; resource.setrlimit(resource.RLIMIT_AS, (2 << 30, 2 << 30));"
+        "import numpy as np; from barloom.llm import html_text; from barloom.llm.html_blocks import blocks;"
+        "net = html_text.Network.fresh(np.random.default_rng(1));"
+        "found = [blocks('<p>a' * 170_000)] + [blocks('<p>b<p>c')] * 50;"
+        "assert [len(x) for x in net.label_blocks(found)] == [170_000] + [2] * 50"
+    )
+    root = Path(__file__).resolve().parents[2]
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, env={**os.environ, "OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1"})
+
+
+def test_a_slash_closes_drawings_only():
+    assert [(b.text, b.linked) for b in blocks("<a href=/x/>one two</a> three")] == [("one two three", 2)]
+    assert paths("<div class=sidebar/>x</div>y") == [(".sidebar", "x"), ("", "y")]
+    assert paths("<div class='ad'/>x<p/>y") == [(".ad", "x"), ("p", "y")]
+    assert paths("<svg/>x<svg class='i'/>y<svg d=a/>z</svg>w") == [("", "xyw")]
