@@ -8,6 +8,7 @@ left are pairs of different components, which are all verified.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.arrow import batch_limit, pieces
+from barloom.llm.ordering import numbered
 from barloom.llm.shingles import mixed, shingle_set
 from barloom.llm.tables import plain_names, stored
 
@@ -393,15 +395,26 @@ def _pairs(table: pa.Table, starts: list[int]) -> pa.RecordBatch:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents of which each stands for its group: those with the least doc_id in their component.
 
-    All columns of ``docs`` stay. Rows that repeat a doc_id are one document, of which one row stays;
-    rows without a doc_id stay.
+    All columns of ``docs`` stay. Rows without a doc_id stay. Where rows with different texts share a doc_id, each text is a document
+    of its own (in the order of doc_id and digest), so no text goes unless one that is like it stays; of rows with
+    the same doc_id and text that with the least hash of its columns stays.
     """
-    grouped = stored(groups(docs.select("doc_id", "text")), "groups")
-    dropped = grouped.where("not kept").select(F.col("doc_id").alias("id")).distinct()
     inner, at, back = plain_names(docs)
-    rest = _listed(inner.withColumn("named", F.col(at["doc_id"]).cast("long")), "named", dropped, "left_anti")
-    repeated = grouped.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.limit(1).count():
-        nameless = rest.where("named is null")
-        rest = rest.where("named is not null").dropDuplicates(["named"]).unionByName(nameless)
-    return back(rest)
+    rows = inner.withColumn("named", F.col(at["doc_id"]).cast("long")).withColumn("said", F.col(at["text"]))
+    ids = rows.where("named is not null").groupBy("named").agg(F.count(F.lit(1)).alias("rows"))
+    if ids.where("rows > 1").isEmpty():
+        grouped = stored(groups(docs.select("doc_id", "text")), "groups")
+        dropped = grouped.where("not kept").select(F.col("doc_id").alias("id")).distinct()
+        return back(_listed(rows, "named", dropped, "left_anti"))
+    rows = rows.withColumn("digest", F.coalesce(F.sha2("said", 256), F.lit("")))
+    texts = rows.where("named is not null").select("named", "digest").distinct()
+    numbers = numbered(texts, [F.col("named"), F.col("digest")], "place")
+    placed = rows.join(numbers, ["named", "digest"], "left")
+    named = placed.where("place is not null")
+    grouped = groups(named.select(F.col("place").alias("doc_id"), F.col("said").alias("text")).dropDuplicates(["doc_id"]))
+    kept = stored(grouped.where("kept").select(F.col("doc_id").alias("place")), "groups")
+    hashed = [f.name for f in inner.schema.fields if not {"map", "variant"} & set(re.findall(r"\w+", f.dataType.simpleString()))]
+    marked = named.join(kept, "place", "left_semi").withColumn("mark", F.xxhash64(*hashed))
+    least = marked.groupBy("place").agg(F.min("mark").alias("mark"))
+    one = marked.join(least, ["place", "mark"], "left_semi").dropDuplicates(["place", "mark"])
+    return back(one.unionByName(placed.where("place is null").withColumn("mark", F.lit(0).cast("long"))))

@@ -100,6 +100,19 @@ def test_the_stage_keeps_columns_and_one_row_each(spark):
     assert sorted((r.doc_id for r in out.collect()), key=str) == [2, 3, 6, 7, None]
 
 
+def test_no_text_goes_unless_one_like_it_stays(spark):
+    """Ids that stand on rows with several texts: each text is judged by itself."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = b.replace("b39", "b40")
+    rows = [(7, a, "s"), (7, b, "t"), (9, near, "u"), (3, a, "v"), (9, c, "w"), (9, c, "w"), (9, c, "x"), (None, c, "y"), (5, None, "z"), (5, "", "z"), (None, None, None)]
+    docs = documents(spark, rows).selectExpr("*", "1 as place", "map('k', 1) as digest")
+    first = sorted(((r.doc_id, r.text) for r in deduplicate(docs).collect()), key=str)
+    expected = sorted([(3, a), (7, b), (9, c), (None, c), (5, None), (5, ""), (None, None)], key=str)
+    assert first == expected
+    again = deduplicate(docs.repartition(7))
+    assert sorted(map(str, again.collect())) == sorted(map(str, deduplicate(docs).collect()))
+
+
 def test_signatures_by_the_definition():
     """Element by element: a shuffled permutation of registers, the draw plus its place."""
     rng = np.random.default_rng(0)

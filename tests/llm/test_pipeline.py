@@ -16,7 +16,7 @@ COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 def test_registered():
     names = entry_module.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.ORACLE) <= set(entry_module.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "mixing", "bpe"]
 
