@@ -1,10 +1,11 @@
 """Order MinHash fingerprints of whole texts, in DataFrame functions only.
 
 A text is cut into tokens, and each run of ``KMER`` tokens is numbered by its occurrence, so
-that a repeated run counts as often as it stands there. A hash of run and number puts each into
-one of ``BINS`` bins. In a bin the ``PICKED`` least hashes are selected, put back into text
-order, and hashed as a tuple: one entry of the signature. Two texts agree in an entry only if the
-same runs are selected in the same order, which edits and moved passages both make less likely.
+that a repeated run counts as often as it stands there. The hash functions are one hash of run and number, turned
+to start at each of 2 ** ``BINS_LOG2`` places on its circle of values. Under each of them the ``PICKED`` least runs are selected, put back
+into text order, and hashed as a tuple: one entry of the signature. Two texts agree in an entry only if the
+same runs are selected in the same order, which edits and moved passages both make less likely. Every entry is
+an ordered pair as soon as a text has two runs.
 """
 
 from __future__ import annotations
@@ -30,6 +31,19 @@ def _bin(x: Column) -> Column:
     return F.shiftrightunsigned(x, 64 - BINS_LOG2)
 
 
+#: Sorted as signed numbers, the bins run from -_HALF to _HALF - 1.
+_HALF = 1 << (BINS_LOG2 - 1)
+
+
+def _start(x: Column) -> Column:
+    return F.shiftright(x, 64 - BINS_LOG2)
+
+
+def _from_to(lo: Column, hi: Column) -> Column:
+    lo, hi = lo.cast("long"), hi.cast("long")
+    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<long>"))
+
+
 def _packed(value: Column, place: Column) -> Column:
     return F.shiftleft(value, PLACE_BITS).bitwiseOR(place)
 
@@ -42,8 +56,8 @@ def _changes(array: Column, of, back: int = 1):
 def with_signature(df: DataFrame, text: str, signature: str = "signature") -> DataFrame:
     """Add the signature (array of longs, bin above and tuple hash below) of a text column.
 
-    Texts with fewer than ``KMER`` tokens have one run of all of them; null and empty texts and those of
-    white space only have an empty signature. Equal texts have equal signatures. Every step is a
+    Texts with fewer than ``KMER`` tokens have one run of all of them, which is every entry; null and empty texts and those of
+    white space only have an empty signature, all others one entry for each hash function. Equal texts have equal signatures. Every step is a
     column of its own, so that none is computed again for each element of an array.
     """
     kept = [c for c in df.columns if c != signature]
@@ -69,19 +83,23 @@ def with_signature(df: DataFrame, text: str, signature: str = "signature") -> Da
     step = step.withColumn("_6", F.when(F.size(repeats) > 0, both).otherwise(firsts))
     step = step.withColumn("_7", F.filter(chosen, _changes(chosen, _bin, PICKED)))
 
-    def entry(x: Column, i: Column) -> Column:
-        after = F.get(picked, i + 1)
-        other = F.when(_bin(after) == _bin(x), after)
+    def entries(x: Column, i: Column) -> Column:
+        """The entries of the hash functions under which this is the least element: those that start behind the one before."""
+        other = F.when(F.size(picked) > 1, F.get(picked, F.pmod(i + 1, F.size(picked))))
         in_order = other.isNull() | (x.bitwiseAND(F.lit(_PLACE)) <= other.bitwiseAND(F.lit(_PLACE)))
         pair = F.when(in_order, F.xxhash64(_hash(x), _hash(other))).otherwise(F.xxhash64(_hash(other), _hash(x)))
-        packed = F.shiftleft(_bin(x), 32).bitwiseOR(pair.bitwiseAND(F.lit(0xFFFFFFFF)))
-        return F.when(_changes(picked, _bin)(x, i), packed)
+        before = _start(F.get(picked, i - 1))
+        # the circle closes: behind the last element the first one is the least again
+        around = F.concat(_from_to(F.lit(-_HALF), _start(x)), _from_to(_start(F.element_at(picked, -1)) + 1, F.lit(_HALF - 1)))
+        starts = F.when(i == 0, around).otherwise(_from_to(before + 1, _start(x)))
+        low = pair.bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.transform(starts, lambda b: F.shiftleft(b.bitwiseAND(F.lit(2 * _HALF - 1)), 32).bitwiseOR(low))
 
-    return step.withColumn(signature, F.array_compact(F.transform(picked, entry))).select(*kept, signature)
+    return step.withColumn(signature, F.flatten(F.transform(picked, entries))).select(*kept, signature)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The part of the bins filled in either signature in which both have the same entry; 1 for two empty ones."""
+    """The part of the hash functions under which both have the same entry; 1 for two empty signatures, 0 beside an empty one."""
     bins = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, 32)), F.transform(b, lambda x: F.shiftright(x, 32))))
     return F.when(bins == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / bins)
 

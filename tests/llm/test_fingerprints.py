@@ -21,21 +21,24 @@ def spark_hash(*values):
 
 
 def brute_signature(text):
-    """Order MinHash by its definition: number the runs, pick the least in each bin, restore their order."""
+    """Order MinHash by its definition: number the runs; under each hash function pick the two least and restore their order.
+
+    Hash function b is one 40-bit hash, counted from b * 2^34 around the circle of its values.
+    """
     tokens = TOKEN.findall(text or "")
     runs = [tokens[i : i + 3] for i in range(max(len(tokens) - 2, min(len(tokens), 1)))]
-    seen, bins = {}, {}
+    seen, elements = {}, []
     for place, run in enumerate(runs):
         value = ((spark_hash(*run) << 24) & MASK) >> 24
         number = seen[value] = seen.get(value, -1) + 1
         if number:
             signed = value - 2**40 if value >= 2**39 else value
             value = ((xxhash.xxh64_intdigest((number - 1).to_bytes(4, "little"), spark_hash(signed)) << 24) & MASK) >> 24
-        bins.setdefault(value >> 34, []).append((value, place))
+        elements.append((value, place))
     out = []
-    for b, elements in bins.items():
-        picked = sorted(sorted(elements)[:2], key=lambda e: e[1])
-        longs = [v - 2**40 if v >= 2**39 else v for v, _ in picked]
+    for b in range(64 if elements else 0):
+        least = sorted(elements, key=lambda e: (e[0] - (b << 34)) % 2**40)[:2]
+        longs = [v - 2**40 if v >= 2**39 else v for v, _ in sorted(least, key=lambda e: e[1])]
         out.append(b << 32 | spark_hash(*longs) & 0xFFFFFFFF)
     return sorted(out)
 
@@ -102,18 +105,34 @@ def test_likeness_follows_edits(spark):
     assert near.a == 1.0 and 0.7 < near.b < 1.0 and near.c < near.b + 0.1 and near.d < 0.05
 
 
-def test_order_in_short_texts(spark):
-    """Bins with one run carry no order: swapped halves of short texts look more alike, as the README states."""
+def independent(words, others, rng, hashes=64):
+    """Likeness by Order MinHash with a random order of the runs for each hash function, independent of all others."""
+    texts = [[tuple(w[i : i + 3]) for i in range(len(w) - 2)] for w in (words, others)]
+    every = list(set(texts[0]) | set(texts[1]))
+    same = 0
+    for _ in range(hashes):
+        rng.shuffle(every)
+        rank = {run: i for i, run in enumerate(every)}
+        picked = [sorted(sorted(range(len(t)), key=lambda i: rank[t[i]])[:2]) for t in texts]
+        same += [texts[0][i] for i in picked[0]] == [texts[1][i] for i in picked[1]]
+    return same / hashes
+
+
+def test_order_in_texts_of_any_length(spark):
+    """Swapped halves are as like as with 64 independent hash functions, short texts included: every entry carries order."""
     means = {}
-    for n, stated in ((30, 0.76), (60, 0.72), (100, 0.66), (300, 0.50)):
+    for n in (30, 60, 100, 300, 1000, 3000):
         rng = random.Random(n)
-        made = [[f"w{rng.randrange(50_000)}" for _ in range(n)] for _ in range(60)]
-        frame = spark.createDataFrame([(" ".join(w), " ".join(w[n // 2 :] + w[: n // 2])) for w in made], "a string, b string")
+        made = [[f"w{rng.randrange(10**9)}" for _ in range(n)] for _ in range(60)]
+        pairs = [(w, w[n // 2 :] + w[: n // 2]) for w in made]
+        frame = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in pairs], "a string, b string")
         for c in "ab":
             frame = fingerprints.with_signature(frame, c, f"s_{c}")
         means[n] = frame.agg(F.avg(fingerprints.likeness(F.col("s_a"), F.col("s_b")))).first()[0]
-        assert abs(means[n] - stated) < 0.04
-    assert means[30] > means[100] > means[300]
+        if n <= 300:
+            assert abs(means[n] - sum(independent(a, b, rng) for a, b in pairs) / len(pairs)) < 0.05
+    # a swap changes 2 of 28 runs at 30 words, which lowers likeness there whatever the hash functions
+    assert 0.3 < means[30] < 0.45 and max(means.values()) - min(v for n, v in means.items() if n >= 60) < 0.1
 
 
 def test_only_functions_in_the_plan(spark):
