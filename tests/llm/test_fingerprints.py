@@ -123,7 +123,7 @@ def test_order_in_texts_of_any_length(spark):
     means = {}
     for n in (30, 60, 100, 300, 1000, 3000):
         rng = random.Random(n)
-        made = [[f"w{rng.randrange(10**9)}" for _ in range(n)] for _ in range(400 if n <= 100 else 80)]
+        made = [[f"w{rng.randrange(10**7)}" for _ in range(n)] for _ in range(400 if n <= 100 else 80)]
         pairs = [(w, w[n // 2 :] + w[: n // 2]) for w in made]
         frame = spark.createDataFrame([(" ".join(a), " ".join(b)) for a, b in pairs], "a string, b string")
         for c in "ab":
