@@ -29,8 +29,8 @@ from barloom.llm.tables import stored
 
 #: Labelled documents learned from, at most: those with the least hash of their id.
 LEARNED_ROWS = 20_000
-#: Entries of the lexicon at most, the most significant first.
-LEXICON_ROWS = 20_000
+#: Entries of the lexicon that a worker may hold; more are an error, none are left out.
+LEXICON_ROWS = 2_000_000
 #: Total weight of the Dirichlet prior, in word occurrences.
 PRIOR = 5_000.0
 #: Standard errors that a score must be away from 0: of a word, of a beginning of words.
@@ -202,7 +202,9 @@ def lexicon(learn: DataFrame) -> dict[str, float]:
     start = F.concat(F.substring("word", 1, START_CHARS), F.lit("*")).alias("word")
     starts = longer.groupBy(start).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     both = words.union(scored(starts, toxic, clean, START_Z))
-    rows = both.orderBy(F.desc("z"), "word").limit(LEXICON_ROWS).select("word", "score").collect()
+    rows = both.orderBy(F.desc("z"), "word").select("word", "score").limit(LEXICON_ROWS + 1).collect()
+    if len(rows) > LEXICON_ROWS:
+        raise ValueError(f"more than {LEXICON_ROWS} words have a significant score; learn from fewer documents")
     return {r.word: r.score for r in rows}
 
 
