@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,3 +40,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return folder
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the cluster's shared folder and read again, for steps that are used more than once."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.dates import epoch_seconds
 from barloom.functions.sampling import least_hashes
+from barloom.session import stored
 
 # Fixed value: the query part of a request.
 REQUEST = "%s?ticker=%s&type=stock&resolution=D&from=%d&to=%d"
@@ -22,24 +23,41 @@ SAMPLED = 64
 MOST_RANGES = 2048
 
 
-def _ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
-    """Add ``_range``, the key's range number; ranges follow the key order and are about equally full.
+#: Rows among which a place is found by ordering them.
+FEW = 10_000
+
+
+def _borders(df: DataFrame, key: str, ranges: int) -> list:
+    """First keys of all ranges but the first, so that they are about equally full.
 
-    The borders come from the rows with the smallest key hashes, ``SAMPLED`` for each
-    range: the same ones in every run, and the only rows the driver sees. They balance
-    the ranges and have no effect on results.
+    They come from the rows with the smallest key hashes, ``SAMPLED`` for each
+    range: the same ones in every run, and the only rows the driver sees.
     """
     sample = least_hashes(df.select(key), [key], SAMPLED * ranges, df.count())
     seen = sorted({row[key] for row in sample.collect() if row[key] is not None})
-    borders = seen[:: max(1, -(-len(seen) // ranges))][1:]
+    return seen[:: max(1, -(-len(seen) // ranges))][1:]
+
+
+def _range_of(key: str, borders: list) -> Column:
+    """How many borders are not above a key, by halving steps over one constant array; 0 for null."""
+    if not borders:
+        return F.lit(0)
+    given = F.array(*map(F.lit, borders))
+    steps = F.array(*[F.lit(1 << i) for i in range(len(borders).bit_length() - 1, -1, -1)])
+    there = lambda at, step: F.coalesce(F.get(given, at + step - 1) <= F.col(key), F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(there(at, step), at + step).otherwise(at))
+
 
-    def number(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(key) < F.lit(borders[mid]), number(lo, mid)).otherwise(number(mid + 1, hi))
+def _ranges(df: DataFrame, key: str, ranges: int) -> DataFrame:
+    """Add ``_range``, the key's range number; ranges follow the key order and are about equally full.
+
+    The borders balance the ranges and have no effect on results.
+    """
+    return df.withColumn("_range", _range_of(key, _borders(df, key, ranges)))
 
-    return df.withColumn("_range", number(0, len(borders)))
+
+def _tasks(df: DataFrame) -> int:
+    return min(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MOST_RANGES)
 
 
 def with_running(df: DataFrame, key: str, measure: Column, name: str, upto: int | None = None) -> DataFrame:
@@ -49,8 +67,7 @@ def with_running(df: DataFrame, key: str, measure: Column, name: str, upto: int
     point does one task order the whole table. There are as many ranges as shuffle
     partitions. ``upto`` leaves out ranges whose earlier ranges exceed it, before they are ordered.
     """
-    ranges = min(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MOST_RANGES)
-    rows = _ranges(df.withColumn("_measure", measure), key, ranges)
+    rows = _ranges(df.withColumn("_measure", measure), key, _tasks(df))
     totals = rows.groupBy("_range").agg(F.sum("_measure").alias("_total"))
     # One row per range: this window has one partition by design.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -72,8 +89,26 @@ def stripes(tickers: DataFrame, n: int, key: str = "ticker") -> DataFrame:
 
 
 def kth_ticker(tickers: DataFrame, k: int, key: str = "ticker") -> DataFrame:
-    """The ticker at 0-based place k of the sorted listing (a top-k, k being small)."""
-    return tickers.select(key).distinct().orderBy(key).offset(k).limit(1)
+    """The ticker at 0-based place k of the sorted listing, null first; no row beyond its end.
+
+    The listing is counted by ranges, and the range that holds the place again, until it has ``FEW`` rows; those alone
+    are ordered. So k may be anything, and the driver sees counts and borders only.
+    """
+    rows = stored(tickers.select(key).distinct(), "listing")
+    if k < 0:
+        return rows.limit(0)
+    while True:
+        borders = _borders(rows, key, _tasks(rows))
+        counts = {r["_range"]: r["count"] for r in rows.groupBy(_range_of(key, borders).alias("_range")).count().collect()}
+        inside = next((i for i in range(len(borders) + 1) if k < sum(counts.get(j, 0) for j in range(i + 1))), None)
+        if inside is None:
+            return rows.limit(0)
+        k -= sum(counts.get(j, 0) for j in range(inside))
+        after = F.col(key) >= F.lit(borders[inside - 1]) if inside else F.lit(True)
+        before = (F.col(key) < F.lit(borders[inside])) | F.col(key).isNull() if inside < len(borders) else F.lit(True)
+        rows = rows.where(after & before)
+        if counts[inside] <= FEW:
+            return rows.orderBy(key).offset(k).limit(1)
 
 
 def within_budget(files: DataFrame, key: str, size: str, megabytes: float) -> DataFrame:

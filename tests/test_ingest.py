@@ -243,6 +243,31 @@ def test_stripes_and_kth(spark):
     assert listing.kth_ticker(frame, 50).count() == 0
 
 
+@pytest.mark.parametrize("k", [0, 1, 1499, 1500, 2998, 2999, 3000, 10**12, -1])
+def test_any_place_of_a_listing(spark, monkeypatch, k):
+    """Place by place the sorted listing, null first, with few rows ordered at the end."""
+    monkeypatch.setattr(listing, "FEW", 50)
+    tickers = [None, *sorted(f"T{i * 7919 % 100_003}" for i in range(2999))]
+    frame = spark.createDataFrame([(t,) for t in tickers] * 2, "ticker string").repartition(5)
+    found = listing.kth_ticker(frame, k)
+    assert [r.ticker for r in found.collect()] == (tickers[k : k + 1] if k >= 0 else [])
+    ordered = listing.kth_ticker(frame, 1500)._jdf.queryExecution().optimizedPlan().children().head()
+    while "Sort" not in ordered.nodeName():
+        ordered = ordered.children().head()
+    assert "Filter" in ordered.toString()
+
+
+def test_range_numbers_of_keys(spark):
+    import bisect
+
+    borders = [f"b{i:03d}" for i in range(100)]
+    keys = ["", "a", "b000", "b0005", "b050", "b099", "c", None]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string")
+    for some in ([], borders[:1], borders[:7], borders[:8], borders):
+        got = {r.k: r.n for r in frame.select("k", listing._range_of("k", some).alias("n")).collect()}
+        assert got == {k: 0 if k is None else bisect.bisect_right(some, k) for k in keys}
+
+
 def test_request_plan(spark):
     from pyspark.sql import functions as F
 
