@@ -123,6 +123,7 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> Data
     ranked = ranked.withColumn("_end", F.col("_end") + F.get("_below", F.col("_i")))
     ranked = ranked.withColumn("_start", F.col("_end") - F.col("_c"))
     places = [(F.col("_n") - 1) * F.lit(float(p)) for p in probabilities]
+    outside = F.raise_error(F.lit("a bracket does not hold its quantile")).cast("double")
 
     def at(i: int, rank: Column) -> Column:
         return F.max(F.when((F.col("_i") == i) & (rank >= F.col("_start")) & (rank < F.col("_end")), x))
@@ -132,13 +133,11 @@ def quantiles(df: DataFrame, value: str, probabilities: Sequence[float]) -> Data
         *[at(i, F.floor(place)).alias(f"low{i}") for i, place in enumerate(places)],
         *[at(i, F.ceil(place)).alias(f"high{i}") for i, place in enumerate(places)],
     )
+    low, high = ([F.coalesce(F.col(f"{end}{i}"), outside) for i in range(len(places))] for end in ("low", "high"))
     return picked.select(
         *KEYS,
         F.col("_n").alias("n"),
-        *[
-            (F.col(f"low{i}") + (place - F.floor(place)) * (F.col(f"high{i}") - F.col(f"low{i}"))).alias(f"q{i}")
-            for i, place in enumerate(places)
-        ],
+        *[(low[i] + (place - F.floor(place)) * (high[i] - low[i])).alias(f"q{i}") for i, place in enumerate(places)],
     )
 
 

@@ -15,7 +15,7 @@ from barloom.operators.clean import bounds, deduplicate, interpolate, to_long
 from barloom.operators.forecast import HORIZON_DAYS, beside_actual, forecast_additive, forecast_baseline
 from barloom.operators.series import attach, per_series, with_segment
 from barloom.schema import ATTRIBUTES, LANDED
-from barloom.session import shared_folder
+from barloom.session import shared_folder, stored
 from barloom.sources import manifest
 from barloom.sources.payloads import flatten_payloads, write_rejects
 from barloom.sources.stored import append_bars, read_or_empty, read_parquet
@@ -70,9 +70,11 @@ def validate(bars: DataFrame, attributes: Sequence[str] = ATTRIBUTES, model: str
 
     Bars must be unique by ticker and day. Every day between the first and the
     last bar has a row; the cut follows from these two days alone, so the
-    calendar itself is not built before the forecast, and the forecast has all of it.
+    calendar itself is not built before the forecast, and the forecast has all of it. The bars are used five times, so
+    they are made once and kept in the shared folder.
     """
     keys = ["ticker"]
+    bars = stored(bars.select("ticker", "trading_date", *attributes), "validated")
     placed = with_segment(bars, keys, "trading_date")
     spans = (
         per_series(placed, keys, F.min("trading_date").alias("_first"), F.max("trading_date").alias("_last"))

@@ -226,6 +226,10 @@ with {ORDER_BARS},
 stored as (select * from bars where trading_date < date '{HISTORY_END}' and ticker <> '{NEW_TICKER}'),
 latest as (select ticker, max(trading_date) as latest from stored group by 1)
 select bars.* from bars left join latest using (ticker) where latest is null or trading_date > latest""",
+    "json_shapes": f"""with {ORDER_BARS}
+select shape, ticker, count(*) as n, min(trading_date) as first_day, max(trading_date) as last_day, cast(sum(volume) as bigint) as volume,
+       max(high) as high, min(low) as low, max(open) as open, min(close) as close, true as has_files
+from bars, (values ('lines'), ('arrays'), ('pretty')) as shapes(shape) group by 1, 2""",
     "size_capped": f"""
 select doc_id, n_chars, round(upto / 1024 / 1024, 6) as running_mb from (
   select doc_id, n_chars, cast(sum(n_chars) over (order by doc_id rows between unbounded preceding and current row) as double) as upto

@@ -32,6 +32,7 @@ from barloom.plans.settings import (
 from barloom.session import shared_folder
 from barloom.sources import listing
 from barloom.sources.payloads import flatten_payloads, pack_payloads, rejected_elements, rejected_payloads
+from barloom.sources.stored import dataset_megabytes, export_arrays, export_json, read_json
 from barloom.sources.tables import order_bars, supplier_bars, table
 from barloom.streaming.append import append_batch, append_stream, read_latest, read_sketches, stored_bars
 from barloom.streaming.slices import append_on_time, weekly_slices
@@ -119,6 +120,28 @@ def stream_append(spark: SparkSession, folder: str) -> DataFrame:
     return stored_bars(spark, f"{base}/store")
 
 
+def json_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars exported as JSON lines by ticker, as arrays to a line and as pretty arrays, read back and summed up."""
+    bars, base = order_bars(spark, folder), shared_folder(spark, "json-shapes")
+    export_json(bars, f"{base}/lines")
+    export_arrays(bars, f"{base}/arrays")
+    export_arrays(bars, f"{base}/pretty", pretty=True)
+    found = []
+    for shape in ("lines", "arrays", "pretty"):
+        read = read_json(spark, f"{base}/{shape}", multi_line=shape == "pretty")
+        there = dataset_megabytes(spark, f"{base}/{shape}").scalar() > 0
+        found.append(
+            read.groupBy("ticker")
+            .agg(
+                F.count(F.lit(1)).alias("n"), F.min("trading_date").alias("first_day"), F.max("trading_date").alias("last_day"),
+                F.sum("volume").alias("volume"), F.max("high").alias("high"), F.min("low").alias("low"),
+                F.max("open").alias("open"), F.min("close").alias("close"),
+            )
+            .select(F.lit(shape).alias("shape"), "*", there.alias("has_files"))
+        )
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def size_capped(spark: SparkSession, folder: str) -> DataFrame:
     sizes = table(spark, folder, "documents").select("doc_id", "n_chars")
     return rounded(listing.within_budget(sizes, "doc_id", "n_chars", BUDGET_MB), 6, "running_mb")
@@ -393,6 +416,7 @@ QUERIES: dict[str, Query] = {
     "incremental_append": incremental_append,
     "append_missing": append_missing,
     "stream_append": stream_append,
+    "json_shapes": json_shapes,
     "size_capped": size_capped,
     "price_range": price_range,
     "period_slice": period_slice,

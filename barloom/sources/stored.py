@@ -74,6 +74,18 @@ def export_json(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     to_stored_names(spread).write.mode(mode).partitionBy("ticker_name").json(path)
 
 
+def export_arrays(bars: DataFrame, path: str, pretty: bool = False) -> None:
+    """JSON arrays of one ticker and year each, under the stored names: one to a line, or (``pretty``) one to a file of many lines."""
+    parts = ["_of", "_year"]
+    packed = to_stored_names(bars).withColumns({"_of": F.col("ticker_name"), "_year": F.substring("trading_date", 1, 4)})
+    arrays = packed.groupBy(*parts).agg(F.collect_list(F.struct(*STORED.names)).alias("_rows"))
+    text = F.to_json("_rows", {"pretty": "true"} if pretty else None)
+    if pretty:
+        arrays.select(*parts, text.alias("value")).repartition(*parts).write.mode("overwrite").partitionBy(*parts).text(path)
+    else:
+        arrays.select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def dataset_megabytes(spark: SparkSession, path: str) -> DataFrame:
     """Total size of all files under a path; file contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -39,6 +39,8 @@ HEADLINE = [
     "supplier_box_stats",
     "box_outliers",
     "stream_append",
+    "period_table",
+    "store_box_stats",
 ]
 RUNS = 2
 

@@ -89,3 +89,13 @@ def test_box_and_outliers(ranged):
         expected = np.sort(x[(x < low) | (x > high)])
         assert row.n_outliers == len(expected)
         assert np.sort(outside.get(row.ticker, np.array([]))).tolist() == expected.tolist()
+
+
+def test_a_bracket_that_misses_is_an_error(spark, monkeypatch):
+    """Were a summary ever further off than its margin, no quantile would be silently missing."""
+    rows = spark.range(9000).selectExpr("'A' as ticker", "date'2020-01-01' as trading_date", "cast(id as double) as x")
+    assert distributions.quantiles(rows, "x", [0.5]).first().q0 == 4499.5
+    monkeypatch.setattr(distributions, "MARGIN", 0.0)
+    monkeypatch.setattr(distributions, "ACCURACY", 3)
+    with pytest.raises(Exception, match="does not hold"):
+        distributions.quantiles(rows, "x", [0.5]).collect()

@@ -169,6 +169,15 @@ def test_append_and_export_round_trip(spark, tmp_path, make_bars):
     assert one.count() == 1
 
 
+def test_arrays_of_a_line_and_of_a_file(spark, tmp_path, make_bars):
+    bars = make_bars([1.0, 2.5, 3.0], ticker="0 1", start=dt.date(2020, 12, 30)).union(make_bars([4.0], ticker="B/B"))
+    for pretty in (False, True):
+        stored.export_arrays(bars, str(tmp_path / str(pretty)), pretty)
+        again = stored.read_json(spark, str(tmp_path / str(pretty)), multi_line=pretty)
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, bars.collect()))
+    assert len(list((tmp_path / "True").rglob("*.txt"))) == 3
+
+
 def test_small_appends_make_one_file_a_year_and_compact(spark, tmp_path, make_bars):
     for i in range(4):
         whole = make_bars([float(i)] * 40, ticker=f"T{i}", start=dt.date(2020, 12, 20))
