@@ -13,7 +13,7 @@ import __spark_entry__ as entry_module
 from barloom.plans.oracle import ORACLE
 from barloom.plans.registry import QUERIES
 
-TABLES = ["orders", "lineitem", "events", "documents"]
+TABLES = ["orders", "customer", "lineitem", "events", "documents"]
 ROWS_ONLY = {"forecast_additive", "additive_validation"}
 
 
