@@ -342,6 +342,27 @@ err as (select ticker, attr, 1.645 * sqrt(avg(pow(z - w0 - w1 * t, 2))) as half
 days as (select *, cast(unnest(generate_series(lo, hi + 56, interval 1 day)) as date) as ds from size),
 fc as (select ticker, attr, ds, (w0 + w1 * date_diff('day', lo, ds) / span) * scale as yhat, half * scale as half
        from days join line using (ticker, attr) join err using (ticker, attr))
+select ticker, attr, ds, {FC_COLUMNS} from fc""",
+    "additive_bend": f"""
+with {ORDER_BARS}, {LONG}, {_regular('long', 'reg')},
+size as (select ticker, attr, min(ds) as lo, max(ds) as hi, greatest(date_diff('day', min(ds), max(ds)), 1) as span,
+                case when max(abs(y)) > 0 then max(abs(y)) else 1 end as scale from reg group by 1, 2),
+unit as (select *, greatest(t - 0.8, 0) as h from (
+  select ticker, attr, cast(date_diff('day', lo, ds) as double) / span as t, y / scale as z from reg join size using (ticker, attr))),
+sums as (select ticker, attr, count(*) + p as a, sum(t) as b, sum(t * t) + p as c, sum(z) as m0, sum(t * z) as m1,
+                sum(h) as g0, sum(h * t) as g1, sum(h * h) as hh, sum(h * z) as hz, p * 25 / 0.1 as weight
+         from unit join (select ticker, attr, pow(greatest(stddev_pop(z), 1e-6), 2) * 0.05 / 25 as p from unit group by 1, 2) using (ticker, attr)
+         group by ticker, attr, p),
+alone as (select *, (c * m0 - b * m1) / d as z0, (a * m1 - b * m0) / d as z1, (c * g0 - b * g1) / d as h0, (a * g1 - b * g0) / d as h1
+          from (select *, a * c - b * b as d from sums)),
+bend as (select *, case when left_over > 1e-9 * hh and abs(pull) > weight then sign(pull) * (abs(pull) - weight) / left_over else 0 end as w2
+         from (select *, hh - g0 * h0 - g1 * h1 as left_over, hz - g0 * z0 - g1 * z1 as pull from alone)),
+line as (select ticker, attr, z0 - h0 * w2 as w0, z1 - h1 * w2 as w1, w2 from bend),
+err as (select ticker, attr, 1.645 * sqrt(avg(pow(z - w0 - w1 * t - w2 * h, 2))) as half
+        from unit join line using (ticker, attr) group by 1, 2),
+days as (select *, cast(unnest(generate_series(lo, hi + 56, interval 1 day)) as date) as ds from size),
+fc as (select ticker, attr, ds, (w0 + w1 * t + w2 * greatest(t - 0.8, 0)) * scale as yhat, case when ds <= hi then half * scale end as half
+       from (select *, cast(date_diff('day', lo, ds) as double) / span as t from days) join line using (ticker, attr) join err using (ticker, attr))
 select ticker, attr, ds, {FC_COLUMNS} from fc""",
     "forecast_vs_actual": f"""{BASELINE}
 select coalesce(fc.ticker, l.ticker) as ticker, coalesce(fc.attr, l.attr) as attr, coalesce(fc.ds, l.ds) as ds,

@@ -360,6 +360,14 @@ def additive_line(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(out, 1, "yhat", "yhat_lower", "yhat_upper")
 
 
+def additive_bend(spark: SparkSession, folder: str) -> DataFrame:
+    """The additive model with one change point and no seasons: its change of slope is 0, or shrunk by the penalty. Drawn intervals are left out."""
+    regular = flows.regular_series(order_bars(spark, folder))
+    out = forecast_additive(regular, ahead=True, change_points=1, weekly=False, yearly=False)
+    known = [F.when(~F.col("ahead"), F.col(c)).alias(c) for c in ("yhat_lower", "yhat_upper")]
+    return rounded(out.select("ticker", "attr", "ds", "yhat", *known), 1, "yhat", "yhat_lower", "yhat_upper")
+
+
 def additive_validation(spark: SparkSession, folder: str) -> DataFrame:
     return flows.validate(order_bars(spark, folder), model="additive")
 
@@ -455,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "forecast_baseline": baseline,
     "forecast_additive": additive,
     "additive_line": additive_line,
+    "additive_bend": additive_bend,
     "additive_validation": additive_validation,
     "forecast_vs_actual": forecast_vs_actual,
     "forecast_validation": forecast_validation,

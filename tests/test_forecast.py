@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from conftest import DATA
 
-from barloom.operators import clean
-from barloom.operators.forecast import beside_actual, fit_and_predict, forecast_additive, forecast_baseline
+from barloom.operators import clean, forecast
+from barloom.operators.forecast import beside_actual, fit_and_predict, forecast_additive, forecast_baseline, seed_of
 from barloom.plans import flows
 from barloom.sources.tables import order_bars
 
@@ -43,6 +43,56 @@ def test_additive_follows_a_bend_and_a_year():
     np.testing.assert_allclose(out.yhat[:1200], y, rtol=0.03)
 
 
+@pytest.mark.parametrize("noise", [0.0, 0.3, 1.0])
+def test_one_bend_leaves_few_change_points(noise):
+    day = np.arange(1200.0)
+    y = np.where(day < 500, 100 + 0.3 * day, 250 - 0.1 * (day - 500)) + np.random.default_rng(1).normal(0, 1, 1200) * noise
+    bends = fit_and_predict(day, y, 56).attrs["bends"]
+    assert 1 <= np.count_nonzero(bends) <= 3
+    assert abs(bends.sum() + 0.4) < 0.02
+
+
+def test_sparse_weights_meet_the_conditions_of_the_optimum():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        n, p = int(rng.integers(3, 200)), int(rng.integers(0, 31))
+        t = np.arange(n) / (n - 1)
+        x = forecast._hinges(t, np.linspace(0.0, 0.8, p + 1)[1:])
+        z = np.cumsum(rng.normal(0, 0.1, n))
+        ridge, weight = 1e-3, float(rng.choice([1e-3, 0.05, 1.0]))
+        w = forecast._sparse(x.T @ x, x.T @ z, ridge, weight)
+        pull = x.T @ (z - x @ w)
+        np.testing.assert_allclose(pull[:2], ridge * w[:2], atol=1e-6)
+        assert (np.abs(pull[2:]) <= weight + 1e-6).all()
+        used = np.flatnonzero(w[2:])
+        np.testing.assert_allclose(pull[2:][used], weight * np.sign(w[2:][used]), atol=1e-6)
+
+
+def test_drawn_futures_cover_nine_tenths():
+    """Series that bend five times in the first 80 % of the history, on average, and as often ahead."""
+    n, ahead, inside = 1500, 120, []
+    for i in range(150):
+        rng = np.random.default_rng(10_000 + i)
+        place = np.arange(n + ahead)
+        chance = np.where((place < 0.8 * n) | (place >= n), 5 / (0.8 * n), 0.0)
+        bends = np.where(rng.random(n + ahead) < chance, rng.laplace(0, 0.1, n + ahead), 0.0)
+        y = 1000 + np.cumsum(0.1 + np.cumsum(bends)) + rng.normal(0, 1 + 4 * (i % 2), n + ahead)
+        out = fit_and_predict(np.arange(float(n)), y[:n], ahead, seasons=(), seed=seed_of("series", i))
+        inside.append(((y >= out.yhat_lower) & (y <= out.yhat_upper))[n:].mean())
+    assert 0.88 <= np.mean(inside) <= 0.92
+
+
+def test_draws_follow_from_the_key():
+    bend = [100 + 0.3 * i if i < 300 else 190 - 0.1 * (i - 300) for i in range(600)]
+    one, again, other = (fit_and_predict(np.arange(600.0), np.array(bend), 300, seasons=(), seed=seed_of(k)) for k in ("A", "A", "B"))
+    assert one.equals(again)
+    assert one.yhat.equals(other.yhat) and not one.yhat_upper.equals(other.yhat_upper)
+    width = (one.yhat_upper - one.yhat_lower).to_numpy()
+    assert width[-1] > 3 * width[0]
+    short = fit_and_predict(np.arange(600.0), np.array(bend), 200, seasons=(), seed=seed_of("A"))
+    assert np.allclose(short.yhat_upper, one.yhat_upper[:800])
+
+
 @pytest.mark.parametrize("model", [forecast_baseline, forecast_additive])
 def test_interval_covers_nine_tenths(spark, model):
     rng = np.random.default_rng(5)
