@@ -6,8 +6,9 @@ others weigh a little against a passage. Words without own evidence fall back to
 beginning. One linear scan finds every maximal scoring segment of a text. A word that is said again says
 little more as long as its last mention is near: it counts anew once the words in between outweigh that
 mention, so that a passage is found wherever its words stood before. How unlikely the
-best score is in clean text of that length follows an extreme-value law whose parameters are
-fitted to clean documents, and a logistic curve turns that into a probability.
+best score is in clean text of that length follows an extreme-value law whose two parameters are
+fitted to clean documents, and a logistic curve turns that into a probability. Both are fitted to documents
+that the lexicon in use has not seen.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ START_CHARS = 4
 DENSITY = 0.25
 #: A passage is reported if clean text of the same length has one as good less often than this.
 SIGNIFICANT = 0.05
+#: Parts of the sample; the law and the curve are fitted to each by the lexicon of the others.
+FOLDS = 4
+#: Clean documents with a high best score that the law's rate is fitted to, at least.
+LAW_SCORES = 50
 CACHED_WORDS = 100_000
 EDGES = "".join(map(chr, [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])) + "¡¿«»„“”‚‘’…–—"
 
@@ -131,7 +136,7 @@ class Model:
         each = sorted((self.surprise(s, words) for _, _, s in found), reverse=True)
         best = max(each[0], 0.0) if each else 0.0
         more = sum(x for x in each[1:] if x > -np.log(-np.log1p(-SIGNIFICANT)))
-        return min(best, 50.0), min(more, 200.0) / 10
+        return best, float(np.log1p(more))
 
     def probability(self, features: tuple[float, float]) -> float:
         base, by_best, by_more = self.curve
@@ -162,23 +167,32 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(found.join(kept.select("id"), "id", "left_semi").dropDuplicates(["id"]).select("text", "toxic"), "toxic-sample")
 
 
+def fold_of(text: Column) -> Column:
+    """The part of the sample that a text belongs to, by its hash."""
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
+
+
 def word_counts(learn: DataFrame) -> DataFrame:
-    """``word, toxic, clean``: the documents of each kind that a word occurs in."""
+    """``fold, word, toxic, clean``: the documents of each kind that a word occurs in, for each part of the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 counts = (Counter(), Counter())
-                for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
-                    counts[toxic].update({word_of(w) for w in set(text.split())} - {""})
-                words = list(counts[0].keys() | counts[1].keys())
+                for text, toxic, fold in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold")), strict=True):
+                    counts[toxic].update((fold, word) for word in {word_of(w) for w in set(text.split())} - {""})
+                keys = list(counts[0].keys() | counts[1].keys())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words, pa.string()), *(pa.array([counts[k][w] for w in words], pa.int64()) for k in (1, 0))],
-                    ["word", "toxic", "clean"],
+                    [
+                        pa.array([fold for fold, _ in keys], pa.int32()),
+                        pa.array([word for _, word in keys], pa.string()),
+                        *(pa.array([counts[kind][k] for k in keys], pa.int64()) for kind in (1, 0)),
+                    ],
+                    ["fold", "word", "toxic", "clean"],
                 )
 
-    counted = learn.mapInArrow(run, "word string, toxic long, clean long")
-    return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = learn.select("text", "toxic", fold_of(F.col("text")).alias("fold")).mapInArrow(run, "fold int, word string, toxic long, clean long")
+    return counted.groupBy("fold", "word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def scored(counts: DataFrame, toxic: float, clean: float, least: float) -> DataFrame:
@@ -190,9 +204,9 @@ def scored(counts: DataFrame, toxic: float, clean: float, least: float) -> DataF
     return counts.select("word", "toxic", "clean", odds.alias("score"), z.alias("z")).where(F.col("z") >= least)
 
 
-def lexicon(learn: DataFrame) -> dict[str, float]:
+def lexicon(counted: DataFrame) -> dict[str, float]:
     """Scores of significant words, and of beginnings that are significant among all other words."""
-    counts = stored(word_counts(learn), "toxic-words")
+    counts = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     sums = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     toxic, clean = float(sums[0] or 0), float(sums[1] or 0)
     if not toxic or not clean:
@@ -212,30 +226,62 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled sample. Without both kinds of labels nothing scores and all probabilities are low."""
     batch_limit(docs.sparkSession)
     learn = sample(docs, labels)
-    model = Model(lexicon(learn))
+    counts = stored(word_counts(learn), "toxic-words")
+    model = Model(lexicon(counts))
     if not model.lexicon:
         return Model({}, curve=(-5.0, 1.0, 0.0))
+    # A lexicon fits the documents it comes from better than others, so each part is scored by the lexicon of the other parts.
+    parts = [Model(lexicon(counts.where(F.col("fold") != fold))) for fold in range(FOLDS)]
+    sorted_out = learn.select("text", "toxic", fold_of(F.col("text")).alias("fold"))
     best = T.StructType([T.StructField(c, T.DoubleType()) for c in ("best", "words", "kind")])
 
-    def measured(of: Model, kind):
+    def measured(kind) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in pieces(batch, "text"):
-                    rows = [(*kind(of, *of.passages(t)), float(x)) for t, x in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True)]
+                    asked = zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "fold")), strict=True)
+                    rows = [(*kind(parts[fold], *parts[fold].passages(t)), float(x)) for t, x, fold in asked]
                     columns = list(zip(*rows, strict=True)) or [(), (), ()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in columns], best.names)
 
-        return np.array(learn.mapInArrow(run, best).collect(), float).reshape(-1, 3)
+        return np.array(sorted_out.mapInArrow(run, best).collect(), float).reshape(-1, 3)
 
-    heights = measured(model, lambda m, found, n: (max((s for _, _, s in found), default=0.0), float(n)))
+    heights = measured(lambda m, found, n: (max((s for _, _, s in found), default=0.0), float(n)))
     clean = heights[heights[:, 2] == 0]
-    model.rate = _rate(model)
-    model.height = float(len(clean) / max(np.sum(np.maximum(clean[:, 1], 1) * np.exp(-model.rate * clean[:, 0])), 1e-9))
-    points = measured(model, lambda m, found, n: m.features(found, n))
+    model.rate, model.height = _law(clean[:, 0], np.maximum(clean[:, 1], 1), _rate(model))
+    for part in parts:
+        part.rate, part.height = model.rate, model.height
+    points = measured(lambda m, found, n: m.features(found, n))
     model.curve = _logistic(points[:, :2], points[:, 2])
     return model
 
 
+def _law(best: np.ndarray, words: np.ndarray, expected: float) -> tuple[float, float]:
+    """Rate and height of the extreme-value law that make the best scores of clean documents likeliest.
+
+    Scores up to the median of those above 0 only count as not more than it, so that the law follows the upper part. The law needs scores
+    that differ there; with fewer than ``LAW_SCORES`` of them the rate is the ``expected`` one and only the height is fitted, to all.
+    """
+    above = best[best > 0]
+    least = float(np.median(above)) if len(above) else 0.0
+    beyond = best[best > least]
+    if len(beyond) < LAW_SCORES:
+        return expected, float(len(best) / max(np.sum(words * np.exp(-expected * best)), 1e-9))
+    gain, excess = np.maximum(best - least, 0.0), float(np.mean(beyond - least))
+
+    def slope(rate: float) -> float:
+        weight = words * np.exp(-rate * gain)
+        return 1 / rate - excess + float(np.sum(gain * weight) / np.sum(weight))
+
+    low, high = 1e-6, 1.0
+    while slope(high) > 0 and high < 1e6:
+        high *= 2
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if slope(middle) > 0 else (low, middle)
+    return low, float(len(beyond) * np.exp(low * least) / np.sum(words * np.exp(-low * gain)))
+
+
 def _rate(model: Model) -> float:
     """The root of E[exp(rate * score)] = 1 in clean text; a score's chance there is what its log-odds say of the rest."""
     scores = np.array([*model.lexicon.values(), model.others])

@@ -1,3 +1,4 @@
+import math
 import random
 import time
 import zlib
@@ -108,6 +109,44 @@ def test_a_passage_is_found_wherever_it_stands(spark):
     assert model.features(*model.passages(" ".join(words)))[1] > once[1]
 
 
+def test_law_recovers_its_parameters():
+    rng = np.random.default_rng(8)
+    words = rng.integers(20, 2000, 20_000).astype(float)
+    rate, height = 1.7, 0.02
+    # The best of a text is not above x with probability exp(-height * words * exp(-rate * x)); nothing below 0 is seen.
+    best = np.maximum(np.log(height * words / rng.exponential(1, len(words))) / rate, 0.0)
+    got = toxicity._law(best, words, 9.0)
+    assert abs(got[0] / rate - 1) < 0.03 and abs(got[1] / height - 1) < 0.05
+    assert toxicity._law(np.zeros(30), np.ones(30), 9.0) == (9.0, 1.0)
+
+
+def test_clean_documents_rarely_have_a_passage(spark):
+    """Of clean documents that nothing was learned from, about one in twenty has a passage reported at 0.05.
+
+    Words are rough by degrees, and clean texts have them too, so that the best scores of clean texts differ from each other.
+    """
+    rng = random.Random(11)
+    rough = [f"rough{i}" for i in range(400)]
+    tilted = [math.exp(3.0 * i / len(rough)) for i in range(len(rough))]
+
+    def text(toxic):
+        words = [rng.choice(rough) if rng.random() < 0.05 else rng.choice(GOOD) for _ in range(rng.randint(20, 200))]
+        at = rng.randrange(len(words))
+        return " ".join([*words[:at], *(rng.choices(rough, tilted, k=8) if toxic else []), *words[at:]])
+
+    labels = [(i, int(rng.random() < 0.3)) for i in range(4000)]
+    model = toxicity.fit(documents(spark, [(i, text(toxic), "s") for i, toxic in labels]), as_labels(spark, labels))
+    fresh = documents(spark, [(i, text(0), "s") for i in range(4000)])
+    share = toxicity.score(fresh, model).where("size(passages) > 0").count() / 4000
+    assert 0.03 <= share <= 0.07
+
+
+def test_many_passages_count_without_a_cap():
+    model = toxicity.Model({"vile": 3.0}, rate=1.0, height=1e-3, curve=(-5.0, 1.0, 1.0))
+    few, many = (model.features([(i, i, 60.0) for i in range(k)], 100) for k in (10, 1000))
+    assert many[0] == few[0] > 50 and many[1] > few[1]
+
+
 def test_near_mentions_of_a_word_count_once():
     model = toxicity.Model({"vile": 2.0})
     assert [(a, b, round(x, 6)) for a, b, x in model.passages("vile Vile! vile, vile")[0]] == [(0, 0, 2.0)]
