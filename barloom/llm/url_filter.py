@@ -1,6 +1,7 @@
 """URL rules looked up in a sorted array of digests.
 
-The index is one file: 64-bit digests of all keys in order, and the keys themselves.
+The index is one file: 64-bit digests of all keys in order, the keys themselves, and a note for each key: for a rule, where its host
+ends and its verdict.
 Every executor gets a copy of it (``SparkContext.addFile``), which its workers map into
 memory. A batch of keys is digested and found by one vectorised binary search; a hit counts
 only if the stored key is the same, so that equal digests of different keys do no harm.
@@ -8,9 +9,10 @@ only if the stored key is the same, so that equal digests of different keys do n
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -36,8 +38,9 @@ class DigestIndex:
     def __init__(self, path: str):
         n = int(np.memmap(path, "<u8", "r", 0, 1)[0])
         self.digests = np.memmap(path, "<u8", "r", 8, n) if n else np.zeros(0, "<u8")
-        self.starts = np.memmap(path, "<u8", "r", 8 + 8 * n, n + 1)
-        at = 16 + 16 * n
+        #: Where each key starts, then where each note does, both in the bytes that follow.
+        self.starts = np.memmap(path, "<u8", "r", 8 + 8 * n, 2 * n + 1)
+        at = 16 + 24 * n
         self.blob = np.memmap(path, "u1", "r", at) if os.path.getsize(path) > at else np.zeros(0, "u1")
 
     def find(self, keys: list[bytes], digest=xxhash.xxh64_intdigest) -> np.ndarray:
@@ -58,16 +61,21 @@ class DigestIndex:
     def key(self, place: int) -> bytes:
         return self.blob[int(self.starts[place]) : int(self.starts[place + 1])].tobytes()
 
+    def note(self, place: int) -> bytes:
+        return self.key(len(self.digests) + place)
 
-def write_index(keys: Iterable[bytes], path: str, digest=xxhash.xxh64_intdigest) -> None:
-    """Distinct keys in the order of their digests, preceded by digests and places."""
+
+def write_index(keys: Iterable[bytes], path: str, digest=xxhash.xxh64_intdigest, notes: Mapping[bytes, bytes] | None = None) -> None:
+    """Distinct keys in the order of their digests and their notes (empty without any) in the same order, preceded by digests and places."""
     ordered = sorted((digest(k), k) for k in set(keys))
-    starts = np.cumsum([0, *(len(k) for _, k in ordered)]).astype("<u8")
+    noted = [(notes or {}).get(k, b"") for _, k in ordered]
+    starts = np.cumsum([0, *(len(k) for _, k in ordered), *map(len, noted)]).astype("<u8")
     with open(path, "wb") as f:
         f.write(np.array([len(ordered)], "<u8").tobytes())
         f.write(np.array([d for d, _ in ordered], "<u8").tobytes())
         f.write(starts.tobytes())
         f.write(b"".join(k for _, k in ordered))
+        f.write(b"".join(noted))
 
 
 @lru_cache(maxsize=4)
@@ -103,12 +111,12 @@ def judge(df: DataFrame, rules: DataFrame, default: str = "allow", url: str = "u
     return _judge_by_index(split, clean, default)
 
 
-def _give_out(spark: SparkSession, keys: list[bytes]) -> str:
-    """The name under which executors find the index of some keys; the same keys are given out once."""
-    name = f"urls-{xxhash.xxh3_128_hexdigest(repr(sorted(set(keys))).encode())}.idx"
+def _give_out(spark: SparkSession, notes: Mapping[bytes, bytes]) -> str:
+    """The name under which executors find the index of some keys; the same keys and notes are given out once."""
+    name = f"urls-{xxhash.xxh3_128_hexdigest(repr(sorted(notes.items())).encode())}.idx"
     if (spark.sparkContext.applicationId, name) not in _GIVEN:
         path = f"{tempfile.mkdtemp(prefix='urls-')}/{name}"
-        write_index(keys, path)
+        write_index(notes, path, notes=notes)
         spark.sparkContext.addFile(path)
         _GIVEN.add((spark.sparkContext.applicationId, name))
     return name
@@ -118,23 +126,19 @@ def _judge_by_index(df: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     listed = sorted((r.host, r.path, r.verdict) for r in rules.collect())
     spark = df.sparkSession
     batch_limit(spark)
-    keys, hosts = [(h + p).encode() for h, p, _ in listed], [h.encode() for h, _, _ in listed]
-    names = {}
-    for kind, content in (("keys", keys), ("hosts", hosts)):
-        names[kind] = _give_out(spark, content)
+    split_at: dict[bytes, dict[int, str]] = {}
+    for h, p, v in listed:
+        split_at.setdefault((h + p).encode(), {})[len(h)] = v
+    by_key_name = _give_out(spark, {k: json.dumps(verdicts).encode() for k, verdicts in split_at.items()})
+    by_host_name = _give_out(spark, {h.encode(): b"" for h, _, _ in listed})
     sizes = sorted({len(p) for _, p, _ in listed})
-    #: For each rule string the hosts it can be split at, longest first, with verdicts: bounded like the index.
     schema = T.StructType([*df.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
-    said: dict[bytes, list[tuple[int, str]]] = {}
-    for h, p, v in listed:
-        said.setdefault((h + p).encode(), []).append((len(h), v))
-    verdicts = spark.sparkContext.broadcast(said)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_key, by_host, of = _mapped(names["keys"]), _mapped(names["hosts"]), verdicts.value
+        by_key, by_host = _mapped(by_key_name), _mapped(by_host_name)
         for batch in batches:
             for part in pieces(batch, "path"):
-                chosen = _longest(by_key, by_host, of, sizes, part.column("host").to_pylist(), part.column("path").to_pylist())
+                chosen = _longest(by_key, by_host, sizes, part.column("host").to_pylist(), part.column("path").to_pylist())
                 rule = pa.array([c[0] for c in chosen], pa.string())
                 verdict = pa.array([default if c[1] is None else c[1] for c in chosen], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, rule, verdict], [*part.schema.names, "rule", "verdict"])
@@ -142,7 +146,7 @@ def _judge_by_index(df: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _longest(by_key, by_host, verdicts, sizes, hosts, paths) -> list[tuple[str | None, str | None]]:
+def _longest(by_key, by_host, sizes, hosts, paths) -> list[tuple[str | None, str | None]]:
     """For each url the longest rule string that fits, and its verdict."""
     labels = {h: [h, *(h[i + 1 :] for i, c in enumerate(h) if c == ".")] for h in set(hosts)}
     suffixes = list({s for found in labels.values() for s in found})
@@ -157,8 +161,10 @@ def _longest(by_key, by_host, verdicts, sizes, hosts, paths) -> list[tuple[str |
                     keys.append((suffix + path[:size]).encode())
                     lengths.append((len(suffix) + size, len(suffix)))
     best: list[tuple[tuple[int, int], str, str] | None] = [None] * len(hosts)
-    for k in np.flatnonzero(by_key.find(keys) >= 0):
-        verdict = dict(verdicts[keys[k]]).get(lengths[k][1])
+    places = by_key.find(keys)
+    noted = {at: json.loads(by_key.note(at)) for at in set(places[places >= 0].tolist())}
+    for k in np.flatnonzero(places >= 0):
+        verdict = noted[int(places[k])].get(str(lengths[k][1]))
         held = best[owner[k]]
         if verdict is not None and (held is None or lengths[k] > held[0]):
             best[owner[k]] = (lengths[k], keys[k].decode(), verdict)

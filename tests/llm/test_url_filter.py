@@ -53,3 +53,17 @@ def test_collisions_are_told_apart(tmp_path):
     assert [index.key(int(at)) if at >= 0 else None for at in found] == [*keys, None, None, None]
     url_filter.write_index([], f"{tmp_path}/empty")
     assert url_filter.DigestIndex(f"{tmp_path}/empty").find([b"a"]).tolist() == [-1]
+
+
+def test_notes_are_read_by_place(tmp_path):
+    notes = {str(i).encode(): f"note of {i}".encode() * (i % 3) for i in range(200)}
+    url_filter.write_index(notes, f"{tmp_path}/index", notes=notes)
+    index = url_filter.DigestIndex(f"{tmp_path}/index")
+    assert {index.key(at): index.note(at) for at in index.find(list(notes)).tolist()} == notes
+
+
+def test_one_string_split_at_two_hosts(spark):
+    """The same rule string can stand for two hosts with paths; each keeps its own verdict."""
+    given = spark.createDataFrame([("a.b", "/c", "allow"), ("a.b/c", "", "block"), ("b", "/", "block")], "host string, path string, verdict string")
+    rows = url_filter.judge(pages(spark, ["http://a.b/c", "http://x.b/c", "http://a.b/d"]), given).collect()
+    assert [(r.rule, r.verdict) for r in rows] == [("a.b/c", "allow"), ("b/", "block"), ("b/", "block")]
