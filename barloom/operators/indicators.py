@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.series import (
     LENGTH,
     SEGMENT,
     earlier_segments,
-    home_rows,
-    in_blocks,
+    home_segments,
     inside_block,
     inside_segment,
+    segments_in_blocks,
     whole_series,
-    with_position,
     with_segment,
 )
 
@@ -62,19 +63,31 @@ def returns(bars: DataFrame, price: str = "close") -> DataFrame:
 def moving_stats(bars: DataFrame, price: str = "close", short: int = 20, long: int = 150) -> DataFrame:
     """Add ``ma<short>``, ``std<short>`` and ``ma<long>`` over trailing rows.
 
-    Null until the frame is full, and the long average only in series longer than it.
+    Null until the frame is full, and the long average only in series longer than it. A frame is
+    summed anew at every row, so the long one is put together from the sums of the short frames
+    that it consists of and of the rows that remain. Nothing is ever subtracted, so sums are as
+    exact as if taken at once, and a NaN stays in the frames it lies in.
     """
-    blocks = in_blocks(with_position(bars, KEYS, DAY), before=long - 1)
+    blocks = segments_in_blocks(bars, KEYS, DAY, before=max(short, long) - 1)
     order = inside_block(KEYS, DAY)
-    near, far = order.rowsBetween(1 - short, 0), order.rowsBetween(1 - long, 0)
-    near_full = F.count(price).over(near) == short
-    far_full = (F.count(price).over(far) == long) & (F.col(LENGTH) > long)
+    pieces, rest = divmod(long, short)
+
+    def full_sum(first: int, last: int) -> Column:
+        frame = order.rowsBetween(first, last)
+        return F.when(F.count(price).over(frame) == last - first + 1, F.sum(price).over(frame))
+
+    near = order.rowsBetween(1 - short, 0)
+    summed = blocks.withColumn("_near", full_sum(1 - short, 0)).withColumn(f"std{short}", F.stddev_samp(price).over(near))
+    parts = [F.lag("_near", k * short).over(order) for k in range(pieces)]
+    if rest:
+        summed = summed.withColumn("_rest", full_sum(1 - long, rest - long))
+        parts.append(F.col("_rest"))
     stats = (
-        blocks.withColumn(f"ma{short}", F.when(near_full, F.avg(price).over(near)))
-        .withColumn(f"std{short}", F.when(near_full, F.stddev_samp(price).over(near)))
-        .withColumn(f"ma{long}", F.when(far_full, F.avg(price).over(far)))
+        summed.withColumn(f"ma{short}", F.col("_near") / short)
+        .withColumn(f"std{short}", F.when(F.col("_near").isNotNull(), F.col(f"std{short}")))
+        .withColumn(f"ma{long}", F.when(F.col(LENGTH) > long, reduce(Column.__add__, parts) / long))
     )
-    return home_rows(stats).select(*bars.columns, f"ma{short}", f"std{short}", f"ma{long}")
+    return home_segments(stats).select(*bars.columns, f"ma{short}", f"std{short}", f"ma{long}")
 
 
 def bollinger(bars: DataFrame, price: str = "close", width: float = 2.0) -> DataFrame:

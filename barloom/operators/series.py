@@ -10,6 +10,8 @@ task. Here rows are grouped by (series, segment) or (series, block) instead:
   from a summary of one row per segment, made with map-side partial aggregates.
 * a *block* is a fixed span of row positions. Rolling frames run inside
   blocks; the few rows a frame reaches beyond its block are copied into it.
+  Where no row's own position is needed, whole segments are dealt to blocks by
+  the position of their first row, which spares numbering the rows.
 
 Joins between rows and summaries are always on (series, segment) or
 (series, block), so no join key ever holds more than a bounded number of rows,
@@ -35,6 +37,7 @@ SEGMENT = "_segment"
 BLOCK = "_block"
 POSITION = "_position"
 LENGTH = "_length"
+HOME = "_home"
 
 
 def segment_of(day: str) -> Column:
@@ -82,16 +85,22 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(repeated.drop("_first_segment", "_last_segment"), [*keys, SEGMENT], "left")
 
 
-def with_position(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
-    """Add each row's 1-based position in its series and the length of the series."""
-    rows = with_segment(df, keys, day)
+def _offsets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per segment: its rows, the rows of earlier segments and the length of the series."""
     counts = rows.groupBy(*keys, SEGMENT).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = counts.select(
+    return counts.select(
         *keys,
         SEGMENT,
+        "_rows",
         F.coalesce(F.sum("_rows").over(earlier_segments(keys)), F.lit(0)).alias("_before"),
         F.sum("_rows").over(whole_series(keys)).alias(LENGTH),
     )
+
+
+def with_position(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
+    """Add each row's 1-based position in its series and the length of the series."""
+    rows = with_segment(df, keys, day)
+    offsets = _offsets(rows, keys).drop("_rows")
     inside = F.row_number().over(inside_segment(keys, day))
     return (
         rows.join(offsets, [*keys, SEGMENT], "left")
@@ -130,6 +139,24 @@ def in_blocks(positioned: DataFrame, before: int = 0, after: int = 0) -> DataFra
     return positioned.withColumn(BLOCK, F.explode(F.sequence(first, last)))
 
 
+def segments_in_blocks(df: DataFrame, keys: Sequence[str], day: str, before: int = 0) -> DataFrame:
+    """Give rows the block their segment begins in and the length of the series, copying segments that end within ``before`` rows of another block into it.
+
+    A block holds its rows by date without their positions, so rows are neither sorted nor numbered
+    before they are dealt to blocks, and copies are made in the summary. Drop them with
+    ``home_segments`` once the frames are evaluated.
+    """
+    rows = with_segment(df, keys, day)
+    first = _block_at(F.col("_before") + 1)
+    last = _block_at(F.least(F.col("_before") + F.col("_rows") + before, F.col(LENGTH)))
+    places = _offsets(rows, keys).select(*keys, SEGMENT, LENGTH, first.alias(HOME), F.explode(F.sequence(first, last)).alias(BLOCK))
+    return rows.join(places, [*keys, SEGMENT], "left").drop(SEGMENT)
+
+
+def home_segments(blocks: DataFrame) -> DataFrame:
+    return blocks.where(F.col(BLOCK) == F.col(HOME))
+
+
 def inside_block(keys: Sequence[str], day: str) -> WindowSpec:
     """The rows of one block, copies included, by date."""
     return Window.partitionBy(*keys, BLOCK).orderBy(day)

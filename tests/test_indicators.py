@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -72,6 +73,32 @@ def test_moving_average_needs_full_frame(make_bars):
     assert frame(indicators.moving_stats(make_bars([1.0] * 151)), "ma150").ma150.count() == 2
 
 
+def test_no_frame_is_summed_over_more_than_the_short_window(make_bars):
+    """A frame is summed anew at every row: the long average comes from the short frames' sums, and rows are not numbered for it."""
+    plan = indicators.moving_stats(make_bars([1.0] * 3))._jdf.queryExecution().optimizedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\(RowFrame, (-\d+), (-?\d+|currentrow\$\(\))\)", plan)
+    rows = [(0 if last.startswith("c") else int(last)) - int(first) + 1 for first, last in frames]
+    assert max(rows) == 20 and "row_number" not in plan
+
+
+@pytest.mark.parametrize("short, long", [(20, 150), (5, 20), (3, 4), (7, 5)])
+def test_frames_from_pieces_with_gaps_and_nan(spark, make_bars, small_pieces, short, long):
+    rng = np.random.default_rng(3)
+    closes = [None if i in (47, 201) else float("nan") if i == 300 else float(x) for i, x in enumerate(rng.integers(1, 9999, 480))]
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=i + 40 * (i > 90) + 300 * (i > 100)) for i in range(480)]
+    both = make_bars(closes, days=days).unionByName(make_bars(closes[:long], "AT", days=days[:long]))
+    out = indicators.moving_stats(both, short=short, long=long).orderBy("ticker", "trading_date").collect()
+    assert [r.close is None for r in out[:480]] == [x is None for x in closes] and len(out) == 480 + long
+    for i, r in enumerate(out):
+        series, at = (closes, i) if i < 480 else (closes[:long], i - 480)
+        for width, name in ((short, f"ma{short}"), (long, f"ma{long}")):
+            window = series[max(at - width + 1, 0) : at + 1]
+            if len(window) < width or None in window or (width == long and len(series) <= long):
+                assert r[name] is None
+            else:
+                check([r[name]], [sum(window) / width])
+
+
 def test_bands(bars):
     out = frame(indicators.bollinger(bars), "ma20", "std20", "lower_band", "upper_band")
     check(out.upper_band - out.lower_band, 4 * out.std20, rtol=1e-6)
